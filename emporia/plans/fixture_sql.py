@@ -158,6 +158,15 @@ from (
 """, ("wide_unsplit",))
 
 
+_cte("cdc_ids", """
+select tbl, id, ['insert', 'insert', 'insert', 'insert', 'insert', 'insert', 'update', 'update', 'delete',
+                 'bootstrap-insert'][id % 10 + 1] typ
+from (select 'order_info' tbl, id from order_info union all select 'order_detail', id from order_detail
+      union all select 'base_province', id from province union all select 'user_info', id from user_info
+      union all select 'sku_info', id from sku) x
+""", ("order_info", "order_detail", "province", "user_info", "sku"))
+
+
 def _resolve(names) -> list[str]:
     out: list[str] = []
 
