@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 DAU_COLUMNS = ["mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
 
 
-def first_visit(dau_rows: DataFrame, tie: str | None = "event_id") -> DataFrame:
+def first_visit(dau_rows: DataFrame, tie: str | None = "event_id", keep_tie: bool = False) -> DataFrame:
     """One DAU document per (dt, mid): the earliest record of that day.
 
     ``dau_rows`` has the DAU columns (``ingest.dau_info``) plus an optional
-    unique ``tie`` column used to break equal timestamps."""
-    rest = [c for c in DAU_COLUMNS if c not in ("dt", "mid")]
+    unique ``tie`` column used to break equal timestamps (kept in the output
+    with ``keep_tie``)."""
+    rest = [c for c in DAU_COLUMNS if c not in ("dt", "mid")] + ([tie] if tie and keep_tie else [])
     key = F.struct(F.col("ts"), F.col(tie)) if tie else F.col("ts")
     best = dau_rows.groupBy("dt", "mid").agg(F.min_by(F.struct(*rest), key).alias("_doc"))
-    return best.select("dt", "mid", "_doc.*").select(*DAU_COLUMNS)
+    return best.select("dt", "mid", "_doc.*").select(*DAU_COLUMNS, *([tie] if tie and keep_tie else []))
 
 
 def dau_total(dau: DataFrame) -> DataFrame:
