@@ -75,7 +75,7 @@ def snk_wide_append(spark, sf_dir):
     """Wide rows appended to the day-partitioned wide table (operator 59)."""
     wide = Warehouse(spark, sf_dir).wide.select("order_detail_id", "order_id", "dt", "final_detail_amount", "tm_name")
     path = scratch_dir(spark, "order-wide")
-    append_by_day(wide, path, "order_detail_id")
+    append_by_day(wide, path)
     back = spark.read.parquet(path)
     return back.select("order_detail_id", "order_id", "dt",
                        F.col("final_detail_amount").cast("double").alias("final_detail_amount"), "tm_name")

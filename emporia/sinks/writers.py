@@ -20,14 +20,13 @@ def _dynamic_overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: s
      .partitionBy(*partition_by).format(fmt).save(path))
 
 
-def append_by_day(df: DataFrame, path: str, key: str, jdbc: dict | None = None, partitions: int | None = None) -> None:
+def append_by_day(df: DataFrame, path: str, jdbc: dict | None = None) -> None:
     """Append rows to a day-partitioned table (operator 59).
 
-    Files: ``partitionBy("dt")`` after a range repartition on (dt, key).
-    Range bounds come from a sample, so partitions hold equal row counts: a
-    day with a third of all rows is split over a third of the tasks, and
-    small days share a task - about one file per (task, day), never one task
-    per hot day.  JDBC (``jdbc={"url", "table", ...}``): the reference's
+    Files: ``partitionBy("dt")`` after a ``rebalance`` on ``dt``: one shuffle
+    by day, after which AQE splits a day that holds a large share of the rows
+    over several tasks and merges small days into one task (no sampling pass,
+    so the input plan runs once).  JDBC (``jdbc={"url", "table", ...}``): the reference's
     options - 4 writers, batch size 100, no isolation."""
     if jdbc:
         (df.repartition(jdbc.get("writers", 4)).write.mode("append").format("jdbc")
@@ -35,8 +34,7 @@ def append_by_day(df: DataFrame, path: str, key: str, jdbc: dict | None = None,
          .option("batchsize", jdbc.get("batchsize", 100)).option("isolationLevel", "NONE")
          .options(**jdbc.get("options", {})).save())
         return
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, "dt", key).write.mode("append").partitionBy("dt").parquet(path)
+    df.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
 
 
 class DailyDocs:
