@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.labels import DEFAULT_AS_OF, age_group, gender_name
-from emporia.operators.joins import bounded_broadcast
-
-# Category, trademark and spu tables are small, bounded catalogues; they are
-# broadcast after their size is checked.
-CATALOGUE_MAX_ROWS = 250_000
 
 
 def user_dim(user_info: DataFrame, as_of: str | Column = DEFAULT_AS_OF) -> DataFrame:
@@ -28,14 +23,13 @@ def user_dim(user_info: DataFrame, as_of: str | Column = DEFAULT_AS_OF) -> DataF
 
 def sku_dim(sku: DataFrame, category3: DataFrame, trademark: DataFrame, spu: DataFrame) -> DataFrame:
     """SkuInfo with category, trademark and spu names: three left lookups
-    (operator 23).  Each catalogue is broadcast behind a row-count bound."""
-    k3 = bounded_broadcast(
-        category3.select(F.col("id").alias("k3_id"), F.col("name").alias("category3_name")), CATALOGUE_MAX_ROWS
-    )
-    tm = bounded_broadcast(
-        trademark.select(F.col("tm_id").alias("t_id"), "tm_name"), CATALOGUE_MAX_ROWS
-    )
-    sp = bounded_broadcast(spu.select(F.col("id").alias("s_id"), "spu_name"), CATALOGUE_MAX_ROWS)
+    (operator 23).  The catalogues are small; Spark broadcasts each one when
+    its measured size (scan statistics, or AQE's runtime shuffle statistics
+    for derived catalogues) is under the broadcast threshold, and falls back
+    to a shuffled join otherwise - no blind hint."""
+    k3 = category3.select(F.col("id").alias("k3_id"), F.col("name").alias("category3_name"))
+    tm = trademark.select(F.col("tm_id").alias("t_id"), "tm_name")
+    sp = spu.select(F.col("id").alias("s_id"), "spu_name")
     return (
         sku.join(k3, sku["category3_id"] == k3["k3_id"], "left")
         .join(tm, sku["tm_id"] == tm["t_id"], "left")

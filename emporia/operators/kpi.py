@@ -2,8 +2,8 @@
 page's logic, re-expressed over all days at once.
 
 Every input here is already aggregated per day or per (day, hour), so these
-frames have at most 24 rows per day and KPI; the day list is broadcast only
-behind a size check.
+frames have at most 24 rows per day and KPI; the day list is broadcast when
+AQE measures it small (it is: one row per day).
 """
 
 from __future__ import annotations
@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.labels import KPI_DAU_NAME, KPI_NEW_MID_NAME, KPI_ORDER_AMOUNT_NAME
-from emporia.operators.joins import bounded_broadcast
 
-DAYS_MAX_ROWS = 100_000
 
 
 def realtime_total(dau_total: DataFrame, new_mid: DataFrame, order_total: DataFrame) -> DataFrame:
@@ -60,7 +58,7 @@ def today_vs_yesterday(hourly: DataFrame) -> DataFrame:
         F.col("value").alias("yesterday"),
     )
     both = today.join(yest, ["id", "dt", "hr"], "full_outer")
-    days = bounded_broadcast(hourly.select(F.col("dt").alias("_d")).distinct(), DAYS_MAX_ROWS)
+    days = hourly.select(F.col("dt").alias("_d")).distinct()
     return both.join(days, both["dt"] == days["_d"], "left_semi")
 
 

@@ -10,11 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.timefmt import as_text, date_part_of, hour_part_of
-from emporia.operators.joins import bounded_broadcast
-
-# Provinces are a fixed administrative list (tens of rows); the bound only
-# guards against a mis-wired input.
-PROVINCE_MAX_ROWS = 100_000
 
 ORDER_INFO_COLUMNS = [
     "id", "province_id", "order_status", "user_id", "final_total_amount", "benefit_reduce_amount",
@@ -55,15 +50,14 @@ def with_date_hour(order_info: DataFrame) -> DataFrame:
 
 def join_province(order_info: DataFrame, province: DataFrame) -> DataFrame:
     """Left join with the province dimension (operator 21): name, area code,
-    ISO 3166-2 code; nulls when the province is unknown."""
-    p = bounded_broadcast(
-        province.select(
-            F.col("id").alias("_pid"),
-            F.col("name").alias("province_name"),
-            F.col("area_code").alias("province_area_code"),
-            F.col("iso_3166_2").alias("province_3166_2_code"),
-        ),
-        PROVINCE_MAX_ROWS,
+    ISO 3166-2 code; nulls when the province is unknown.  No hint: the
+    planner broadcasts the province list from its measured size (file
+    statistics, then AQE's runtime statistics), never on trust."""
+    p = province.select(
+        F.col("id").alias("_pid"),
+        F.col("name").alias("province_name"),
+        F.col("area_code").alias("province_area_code"),
+        F.col("iso_3166_2").alias("province_3166_2_code"),
     )
     return order_info.join(p, order_info["province_id"] == p["_pid"], "left").drop("_pid")
 
@@ -131,9 +125,12 @@ def join_order_detail(order: DataFrame, detail: DataFrame, how: str = "inner") -
         F.col("category3_id").cast("long").alias("category3_id"), "spu_name", "tm_name", "category3_name",
     )
     j = d.join(o, d["_d_order_id"] == o["_oid"], how)
+    # inner: keep the line side's key, so the hash partitioning of the join
+    # is recognised downstream (the split reuses it without a new exchange)
+    oid = F.col("_d_order_id") if how == "inner" else F.coalesce(F.col("_oid"), F.col("_d_order_id"))
     return j.select(
         "order_detail_id",
-        F.coalesce(F.col("_oid"), F.col("_d_order_id")).alias("order_id"),
+        oid.alias("order_id"),
         "order_status",
         F.col("_o_create_time").alias("create_time"),
         "user_id", "sku_id", "sku_price", "sku_num", "sku_name", "benefit_reduce_amount", "original_total_amount",

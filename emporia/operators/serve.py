@@ -14,12 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.operators.joins import bounded_broadcast
 from emporia.operators.marts import money_sum
 
 TOP_K_SALTS = 64
-# one row per day: days are a calendar, bounded by the retention period
-DAYS_MAX_ROWS = 100_000
 
 
 def token_match(text: Column, term: str) -> Column:
@@ -54,7 +51,6 @@ def sale_detail_page(wide: DataFrame, keyword: str, startpage: int, size: int) -
     top = top_k_per_group(hits, ["dt"], [F.col("order_detail_id")], k)
     page = top.where(F.col("rn") > (startpage - 1) * size)
     totals = hits.groupBy(F.col("dt").alias("_dt")).agg(F.count(F.lit(1)).alias("total"))
-    totals = bounded_broadcast(totals, DAYS_MAX_ROWS)
     return page.join(totals, page["dt"] == totals["_dt"]).drop("_dt")
 
 

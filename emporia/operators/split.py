@@ -30,7 +30,7 @@ def _raw_share(final_total, gross, total):
     return F.round(final_total * gross / total, 2).cast(MONEY)
 
 
-def amount_split(wide: DataFrame) -> DataFrame:
+def amount_split(wide: DataFrame, checkpoint: bool = False) -> DataFrame:
     """Fill ``final_detail_amount`` of wide rows (columns of
     ``orders.ORDER_WIDE_COLUMNS``, money as ``decimal(12,2)``)."""
     cols = wide.columns
@@ -41,6 +41,13 @@ def amount_split(wide: DataFrame) -> DataFrame:
         wide.withColumn("_o", o)
         .withColumn("_raw", F.when(T != 0, _raw_share(Fp, F.col("_o"), T)))
     )
+    if checkpoint:
+        # The three consumers below (stats, closed form, running-sum path)
+        # each re-run the upstream plan.  Over stored DWD tables that is a
+        # pruned re-scan (the stats read four columns) and beats writing every
+        # column; when the input is an expensive derivation, a reliable
+        # checkpoint in the shared checkpoint folder cuts the lineage once.
+        lines = lines.checkpoint(eager=True)
     stats = lines.groupBy(F.col("order_id").alias("_sid")).agg(
         F.sum("_o").alias("_sum_o"),
         F.sum("_raw").alias("_sum_raw"),

@@ -43,7 +43,9 @@ class Fixtures:
         return self._cache[name]
 
     def t(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        # one read (file listing, footer) per table; Catalyst still prunes
+        # columns and pushes filters separately for every use in a plan
+        return self._get(f"table:{name}", lambda: table(self.spark, self.sf_dir, name))
 
     # ---- app log ---------------------------------------------------------
     @property
