@@ -194,10 +194,12 @@ def latest_per_key(df: DataFrame, key_cols: list[str]) -> DataFrame:
 
 # ---- running a stream to completion -----------------------------------------
 
-def run_available(stream_writer, name: str, spark: SparkSession, timeout_s: int = 900):
-    """Start ``stream_writer`` (a DataStreamWriter) with a fresh checkpoint
-    under the shared root, process everything available, and stop."""
-    ckpt = scratch_dir(spark, f"ckpt-{name}")
+def run_available(stream_writer, name: str, spark: SparkSession, timeout_s: int = 900, checkpoint: str | None = None):
+    """Start ``stream_writer`` (a DataStreamWriter) with ``checkpoint`` (a
+    fresh folder under the shared root by default), process everything
+    available, and stop.  Re-running with the same checkpoint resumes from
+    the committed offsets."""
+    ckpt = checkpoint or scratch_dir(spark, f"ckpt-{name}")
     q = stream_writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     finished = q.awaitTermination(timeout_s)
     if not finished:
