@@ -17,15 +17,17 @@ GENDER_FEMALE = "女"
 KPI_DAU_NAME = "新增日活"
 KPI_NEW_MID_NAME = "新增设备"
 KPI_ORDER_AMOUNT_NAME = "新增交易额"
-TOPIC_STARTUP = "GMALL0317_STARTUP"
-TOPIC_EVENT = "GMALL0317_EVENT"
 TOPIC_CDC_PREFIX = "ODS_T_"
+YEAR_DAYS = 365
+# -------------------------------------------------------------------------------
+
+# Topic names: deployment configuration (the startup/event split and the
+# layer names are what matters, not the exact strings).
+TOPIC_STARTUP = "APP_STARTUP"
+TOPIC_EVENT = "APP_EVENT"
 TOPIC_DWD_ORDER_INFO = "DWD_ORDER_INFO"
 TOPIC_DWD_ORDER_DETAIL = "DWD_ORDER_DETAIL"
 TOPIC_DWS_ORDER_WIDE = "DWS_ORDER_WIDE"
-DAY_MS = 86_400_000
-YEAR_DAYS = 365
-# -------------------------------------------------------------------------------
 
 # The default "as of" date for ages in batch queries: a parameter, never the clock.
 DEFAULT_AS_OF = "2024-01-31"

@@ -72,7 +72,7 @@ def prj_dau_info(spark, sf_dir):
 
 
 @register("flt_log_route", with_ctes(
-    "select mid, ch, ts, case when start_entry is not null then 'GMALL0317_STARTUP' else 'GMALL0317_EVENT' end topic "
+    "select mid, ch, ts, case when start_entry is not null then 'APP_STARTUP' else 'APP_EVENT' end topic "
     "from startup_log", "startup_log"))
 def flt_log_route(spark, sf_dir):
     logs = ingest.route_log(_log_lines(Warehouse(spark, sf_dir)))

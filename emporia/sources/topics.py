@@ -75,7 +75,7 @@ class TopicStore:
             (out.select(*cols).write.format("kafka")
              .option("kafka.bootstrap.servers", self.kafka_servers).save())
             return
-        out = df if files is None else df.repartition(files)
+        out = df if files is None else df.coalesce(files)
         if topic is None:
             out.select("topic", "value").write.mode("append").partitionBy("topic").text(self.root)
         else:
@@ -91,13 +91,15 @@ class TopicStore:
         query runs once however many slices there are."""
         stage = scratch_dir(self.spark, f"stage-{topic}")
         t = event_time.cast("double") if not isinstance(event_time, str) else F.col(event_time).cast("double")
-        with_t = df.select("value", t.alias("_t"))
-        bounds = with_t.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
+        # the input plan runs once: staged with its event time, the slice
+        # bounds then come from the staged copy
+        df.select("value", t.alias("_t")).write.parquet(stage)
+        staged = self.spark.read.parquet(stage)
+        bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
         lo, hi = (bounds["lo"] or 0.0), (bounds["hi"] or 0.0)
         span = (hi - lo) or 1.0
-        sl = F.least(F.floor((F.col("_t") - F.lit(lo)) * slices / F.lit(span)), F.lit(slices - 1)).cast("int")
-        with_t.select("value", sl.alias("slice")).write.partitionBy("slice").parquet(stage)
-        staged = self.spark.read.parquet(stage)
         for i in range(slices):
-            part = staged.where(F.col("slice") == i).select("value")
+            a, b = lo + span * i / slices, lo + span * (i + 1) / slices
+            cond = (F.col("_t") >= a) & ((F.col("_t") < b) if i < slices - 1 else F.lit(True))
+            part = staged.where(cond).select("value")
             self.write_batch(part, topic, files=files_per_slice)

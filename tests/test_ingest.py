@@ -61,7 +61,7 @@ def test_log_route_and_dt_hr(spark):
     ])
     logs = ingest.with_dt_hr(ingest.route_log(ingest.decode_app_log(df)))
     rows = {r["common"]["mid"]: r for r in logs.collect()}
-    assert rows["m1"].topic == "GMALL0317_STARTUP" and rows["m2"].topic == "GMALL0317_EVENT"
+    assert rows["m1"].topic == "APP_STARTUP" and rows["m2"].topic == "APP_EVENT"
     assert rows["m2"].ts == ts and rows["m1"].dt == "2024-01-01" and rows["m1"].hr == "05"
 
 
