@@ -1,11 +1,12 @@
-"""Join helpers.
-
-A broadcast hint overrides Spark's own size estimate, so we only give one
-after proving the side is small: ``limit(n + 1).count()`` reads at most
-``n + 1`` rows per partition and tells us whether the side has more than
-``n`` rows.  Beyond the bound the hint is left out and AQE chooses the join
-from runtime statistics (it still broadcasts when the shuffled side turns out
-small, and splits skewed partitions otherwise).
+"""Broadcast with a proven size bound.
+
+The library's own joins give no broadcast hints: Spark broadcasts a side when
+its measured size (scan statistics, or AQE's runtime shuffle statistics) is
+under the threshold.  For callers who want to force a broadcast of a derived
+side whose statistics Spark cannot know, ``bounded_broadcast`` proves the
+bound first: ``limit(n + 1).count()`` reads at most ``n + 1`` rows per
+partition, and the hint is given only when the side has at most ``n`` rows;
+otherwise the join is left to AQE.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension with at most this many rows is broadcast.  Rows of the dimensions
-# we broadcast are < 200 bytes, so the bound keeps a broadcast under ~50 MB.
+# Rows of a typical dimension are < 200 bytes, so this keeps a broadcast
+# under ~50 MB.
 DEFAULT_BROADCAST_ROWS = 250_000
 
 
@@ -22,15 +23,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, max_rows: int | None = None) -> DataFrame:
-    """Left outer equi-join of a fact with a dimension keyed by ``dim_key``.
-
-    Missing dimension rows give nulls (the reference's ``getOrElse(null)``).
-    With ``max_rows`` the dimension is broadcast when its size is proven
-    below the bound; otherwise the join is left to AQE.
-    """
-    if max_rows is not None:
-        dim = bounded_broadcast(dim, max_rows)
-    return fact.join(dim, fact[fact_key] == dim[dim_key], "left").drop(dim[dim_key])

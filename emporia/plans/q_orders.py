@@ -9,9 +9,6 @@ from emporia.plans.catalog import register
 from emporia.plans.fixture_sql import with_ctes
 from emporia.plans.warehouse import Warehouse
 
-WIDE_OUT = ", ".join(orders.ORDER_WIDE_COLUMNS)
-
-
 def _bigint(df, *cols):
     return df.select(*[F.col(c).cast("long").alias(c) if c in cols else F.col(c) for c in df.columns])
 

@@ -9,7 +9,6 @@ local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,20 +83,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python code can test for existence in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Path existence through Hadoop's FileSystem, so it works for any scheme."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("EMPORIA_SF_DIR", default)

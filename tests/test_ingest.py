@@ -86,3 +86,11 @@ def test_upsert_latest_keeps_newest_change(spark):
     chg = spark.createDataFrame([(1, "x", 5), (1, "y", 9), (3, "z", 1)], "id long, v string, o long")
     got = {r.id: r.v for r in dims.upsert_latest(cur, chg, "id", "o").collect()}
     assert got == {1: "y", 2: "b", 3: "z"}
+
+
+def test_bounded_broadcast_hints_only_below_the_bound(spark):
+    from emporia.operators.joins import bounded_broadcast
+
+    small = spark.range(10)
+    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in bounded_broadcast(small, 9)._jdf.queryExecution().logical().toString().lower()
