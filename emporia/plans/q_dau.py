@@ -46,20 +46,20 @@ def _chain(sql_tail: str, *parts: str) -> str:
 
 @register("agg_dau_total", with_ctes("select dt, count(*) dau from dau group by dt", "dau"))
 def agg_dau_total(spark, sf_dir):
-    return dau.dau_total(dau_docs(Warehouse(spark, sf_dir)))
+    return dau.dau_total(dau_docs(Warehouse.of(spark, sf_dir)))
 
 
 @register("agg_dau_hour", with_ctes(
     "select dt, hr, n from (select dt, hr, count(*) n, row_number() over (partition by dt order by count(*) desc, hr) r "
     "from dau group by dt, hr) x where r <= 24", "dau"))
 def agg_dau_hour(spark, sf_dir):
-    return dau.dau_hour(dau_docs(Warehouse(spark, sf_dir)))
+    return dau.dau_hour(dau_docs(Warehouse.of(spark, sf_dir)))
 
 
 @register("kpi_new_device", with_ctes(
     "select dt, count(*) new_mid from (select mid, min(dt) dt from dau group by mid) f group by dt", "dau"))
 def kpi_new_device(spark, sf_dir):
-    return dau.new_devices(dau_docs(Warehouse(spark, sf_dir)))
+    return dau.new_devices(dau_docs(Warehouse.of(spark, sf_dir)))
 
 
 def _hourly(w: Warehouse):
@@ -76,7 +76,7 @@ def _hourly(w: Warehouse):
     "grid as (select d.dt, k.id, k.name from (select distinct dt from long) d, "
     "(values ('dau', '新增日活'), ('new_mid', '新增设备'), ('order_amount', '新增交易额')) k(id, name))"))
 def kpi_realtime_total(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     docs = dau_docs(w)
     return kpi.realtime_total(dau.dau_total(docs), dau.new_devices(docs), marts.order_amount_total(w.wide_unsplit))
 
@@ -89,7 +89,7 @@ def kpi_realtime_total(spark, sf_dir):
     "where coalesce(t.dt, y.dt) in (select dt from hourly)",
     DAU_H, ORDER_H, HOURLY))
 def kpi_today_vs_yesterday(spark, sf_dir):
-    return kpi.today_vs_yesterday(_hourly(Warehouse(spark, sf_dir)))
+    return kpi.today_vs_yesterday(_hourly(Warehouse.of(spark, sf_dir)))
 
 
 @register("kpi_hour_zero_fill", _chain(
@@ -98,10 +98,10 @@ def kpi_today_vs_yesterday(spark, sf_dir):
     "left join hourly h on h.id = k.id and h.dt = k.dt and h.hr = k.hr",
     DAU_H, ORDER_H, HOURLY))
 def kpi_hour_zero_fill(spark, sf_dir):
-    return kpi.hour_zero_fill(_hourly(Warehouse(spark, sf_dir)))
+    return kpi.hour_zero_fill(_hourly(Warehouse.of(spark, sf_dir)))
 
 
 @register("kpi_hour_map")
 def kpi_hour_map(spark, sf_dir):
     """hour -> value maps per KPI and day (rows-only check: map values)."""
-    return kpi.hour_map(_hourly(Warehouse(spark, sf_dir)))
+    return kpi.hour_map(_hourly(Warehouse.of(spark, sf_dir)))

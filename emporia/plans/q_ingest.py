@@ -45,7 +45,7 @@ def _log_lines(w: Warehouse):
 def src_json_decode(spark, sf_dir):
     """DWD order records as JSON text (a third with quoted numbers) decoded
     back to typed rows: all-string schema, then ``try_cast`` (operator 2)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     msgs = messages._json_with_quoted_numbers(w.order_info, "id")
     rec = msgs.select(jsonx.decode(F.col("value"), schemas.ORDER_INFO).alias("r")).select("r.*")
     out = rec.select(
@@ -58,7 +58,7 @@ def src_json_decode(spark, sf_dir):
 
 @register("prj_log_dt_hr", with_ctes("select mid, ts, dt, hr from startup_dated", "startup_dated"))
 def prj_log_dt_hr(spark, sf_dir):
-    logs = ingest.with_dt_hr(_log_lines(Warehouse(spark, sf_dir)))
+    logs = ingest.with_dt_hr(_log_lines(Warehouse.of(spark, sf_dir)))
     return logs.select(F.col("common.mid").alias("mid"), "ts", "dt", "hr")
 
 
@@ -66,7 +66,7 @@ def prj_log_dt_hr(spark, sf_dir):
     "select mid, uid, ar, ch, vc, dt, hr, '00' mi, ts from startup_dated where start_entry is not null",
     "startup_dated"))
 def prj_dau_info(spark, sf_dir):
-    logs = ingest.route_log(_log_lines(Warehouse(spark, sf_dir)))
+    logs = ingest.route_log(_log_lines(Warehouse.of(spark, sf_dir)))
     starts = logs.where(F.col("topic") == ingest.TOPIC_STARTUP)
     return ingest.dau_info(ingest.with_dt_hr(starts))
 
@@ -75,13 +75,13 @@ def prj_dau_info(spark, sf_dir):
     "select mid, ch, ts, case when start_entry is not null then 'APP_STARTUP' else 'APP_EVENT' end topic "
     "from startup_log", "startup_log"))
 def flt_log_route(spark, sf_dir):
-    logs = ingest.route_log(_log_lines(Warehouse(spark, sf_dir)))
+    logs = ingest.route_log(_log_lines(Warehouse.of(spark, sf_dir)))
     return logs.select(F.col("common.mid").alias("mid"), F.col("common.ch").alias("ch"), "ts", "topic")
 
 
 @register("prj_cdc_topic", _cdc_ids_sql("\"table\", id, 'ODS_T_' || upper(\"table\") topic"))
 def prj_cdc_topic(spark, sf_dir):
-    ch = messages.cdc_change_rows(Warehouse(spark, sf_dir).fx)
+    ch = messages.cdc_change_rows(Warehouse.of(spark, sf_dir).fx)
     return ch.select("table", "id", ingest.cdc_topic(F.col("table")).alias("topic"))
 
 
@@ -91,7 +91,7 @@ def prj_cdc_topic(spark, sf_dir):
     "or (\"table\" = 'base_province' and \"type\" in ('insert', 'update')) "
     "or (\"table\" = 'user_info' and \"type\" in ('insert', 'update')) or \"type\" = 'bootstrap-insert'"))
 def flt_cdc_rowform(spark, sf_dir):
-    env = messages.cdc_row_envelopes(Warehouse(spark, sf_dir).fx).select("value")
+    env = messages.cdc_row_envelopes(Warehouse.of(spark, sf_dir).fx).select("value")
     kept = ingest.cdc_rowform_filter(ingest.decode_cdc_row(env))
     return kept.select(
         "topic", "table", "type", F.get_json_object("data", "$.id").cast("long").alias("id")
@@ -100,7 +100,7 @@ def flt_cdc_rowform(spark, sf_dir):
 
 @register("flt_cdc_arrayform", _cdc_ids_sql("'ODS_T_' || upper(\"table\") topic, \"table\", id"))
 def flt_cdc_arrayform(spark, sf_dir):
-    env = messages.cdc_array_envelopes(Warehouse(spark, sf_dir).fx).select("value")
+    env = messages.cdc_array_envelopes(Warehouse.of(spark, sf_dir).fx).select("value")
     rows = ingest.cdc_arrayform_explode(env)
     return rows.select("topic", "table", F.get_json_object("data", "$.id").cast("long").alias("id"))
 
@@ -109,7 +109,7 @@ def flt_cdc_arrayform(spark, sf_dir):
 def prj_to_json(spark, sf_dir):
     """Wide rows as keyed JSON messages for the next topic (operator 14).
     Rows-only check: the JSON text itself is engine-specific."""
-    wide = Warehouse(spark, sf_dir).wide
+    wide = Warehouse.of(spark, sf_dir).wide
     return wide.select(F.col("order_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
@@ -119,6 +119,6 @@ def prj_to_json(spark, sf_dir):
 def src_search_docs(spark, sf_dir):
     """Document search: numeric range filter (6..10) AND a term match on the
     analysed name (lower-cased, split on non-word characters) (operator 5)."""
-    skus = Warehouse(spark, sf_dir).skus
+    skus = Warehouse.of(spark, sf_dir).skus
     hits = serve.search_docs(skus, "sku_name", "red", "tm_id", 6, 10)
     return hits.select("id", "sku_name", "tm_id")

@@ -17,25 +17,25 @@ def _bigint(df, *cols):
     "select id, strftime(create_time, '%Y-%m-%d %H:%M:%S') create_time, strftime(create_time, '%Y-%m-%d') create_date, "
     "strftime(create_time, '%H') create_hour from order_info", "order_info"))
 def prj_order_date_hour(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return orders.with_date_hour(w.fx.order_info).select("id", "create_time", "create_date", "create_hour")
 
 
 @register("prj_user_age_group", with_ctes(
     "select id, cast(birthday as varchar) birthday, age_group from users", "users"))
 def prj_user_age_group(spark, sf_dir):
-    return Warehouse(spark, sf_dir).users.select("id", F.col("birthday").cast("string").alias("birthday"), "age_group")
+    return Warehouse.of(spark, sf_dir).users.select("id", F.col("birthday").cast("string").alias("birthday"), "age_group")
 
 
 @register("prj_user_gender_name", with_ctes("select id, gender, gender_name from users", "users"))
 def prj_user_gender_name(spark, sf_dir):
-    return Warehouse(spark, sf_dir).users.select("id", "gender", "gender_name")
+    return Warehouse.of(spark, sf_dir).users.select("id", "gender", "gender_name")
 
 
 @register("join_order_province", with_ctes(
     "select id, province_id, province_name, province_area_code, province_3166_2_code from dwd_order", "dwd_order"))
 def join_order_province(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     o = orders.join_province(w.fx.order_info, w.fx.province)
     return o.select("id", "province_id", "province_name", "province_area_code", "province_3166_2_code")
 
@@ -43,7 +43,7 @@ def join_order_province(spark, sf_dir):
 @register("join_order_user", with_ctes(
     "select id, user_id, user_gender, user_age_group from dwd_order", "dwd_order"))
 def join_order_user(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     o = orders.join_user(w.fx.order_info, w.users)
     return o.select("id", "user_id", "user_gender", "user_age_group")
 
@@ -52,7 +52,7 @@ def join_order_user(spark, sf_dir):
     "select id, cast(spu_id as bigint) spu_id, price, sku_name, tm_id, cast(category3_id as bigint) category3_id, "
     "category3_name, spu_name, tm_name from skus", "skus"))
 def join_sku_dims(spark, sf_dir):
-    s = Warehouse(spark, sf_dir).skus
+    s = Warehouse.of(spark, sf_dir).skus
     return _bigint(s, "spu_id", "category3_id")
 
 
@@ -61,7 +61,7 @@ def join_sku_dims(spark, sf_dir):
     "create_time, cast(spu_id as bigint) spu_id, tm_id, cast(category3_id as bigint) category3_id, spu_name, tm_name, "
     "category3_name from dwd_detail", "dwd_detail"))
 def join_detail_sku(spark, sf_dir):
-    d = Warehouse(spark, sf_dir).order_detail
+    d = Warehouse.of(spark, sf_dir).order_detail
     d = d.withColumn("order_price", F.col("order_price").cast("double"))
     return _bigint(d, "sku_num", "spu_id", "category3_id")
 
@@ -73,7 +73,7 @@ def join_detail_sku(spark, sf_dir):
 def src_dim_lookup(spark, sf_dir):
     """User dimension rows for the users of finished orders: a semi join, the
     set form of the reference's per-partition ``IN (...)`` lookup."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     wanted = w.fx.order_info.where(F.col("order_status") == "F").select(F.col("user_id").alias("id"))
     return dims.lookup_by_ids(w.users, wanted).withColumn("birthday", F.col("birthday").cast("string"))
 
@@ -84,7 +84,7 @@ def src_dim_lookup(spark, sf_dir):
     "cast(original_total_amount as double) original_total_amount, cast(feight_fee as double) feight_fee, "
     "cast(final_total_amount as double) final_total_amount from wide_unsplit", "wide_unsplit"))
 def prj_order_wide(spark, sf_dir):
-    w = Warehouse(spark, sf_dir).wide_unsplit.drop("final_detail_amount")
+    w = Warehouse.of(spark, sf_dir).wide_unsplit.drop("final_detail_amount")
     return orders.money_as_double(w)
 
 
@@ -93,7 +93,7 @@ def prj_order_wide(spark, sf_dir):
     "cast(original_total_amount as double) original_total_amount, "
     "cast(final_total_amount as double) final_total_amount, final_detail_amount from wide", "wide"))
 def win_amount_split(spark, sf_dir):
-    w = Warehouse(spark, sf_dir).wide.select(
+    w = Warehouse.of(spark, sf_dir).wide.select(
         "order_detail_id", "order_id", "dt", "sku_price", "original_total_amount", "final_total_amount",
         "final_detail_amount",
     )
@@ -105,7 +105,7 @@ def win_amount_split(spark, sf_dir):
     "case when row_number() over (partition by user_id order by create_time, id) = 1 then '1' else '0' end if_first_order "
     "from order_info", "order_info"))
 def win_first_order_flag(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     f = orders.first_order_flag(w.fx.order_info)
     return f.withColumn("create_time", F.date_format("create_time", "yyyy-MM-dd HH:mm:ss"))
 
@@ -116,6 +116,6 @@ def win_first_order_flag(spark, sf_dir):
 def join_order_detail_fullouter(spark, sf_dir):
     """Full outer order-line join: orders without lines (and lines without an
     order) are kept with nulls on the other side (operator 27)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     j = orders.join_order_detail(w.order_info, w.order_detail, "full_outer")
     return j.select("order_detail_id", "order_id", "create_time", "sku_id")

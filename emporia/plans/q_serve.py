@@ -23,7 +23,7 @@ MATCH_SQL = f"list_contains(regexp_split_to_array(lower(sku_name), '\\W+'), '{KE
     f"from wide where {MATCH_SQL}) x "
     f"where rn > {(STARTPAGE - 1) * PAGE_SIZE} and rn <= {STARTPAGE * PAGE_SIZE}", "wide"))
 def srv_sale_detail_page(spark, sf_dir):
-    wide = Warehouse(spark, sf_dir).wide
+    wide = Warehouse.of(spark, sf_dir).wide
     page = serve.sale_detail_page(wide, KEYWORD, STARTPAGE, PAGE_SIZE)
     page = page.select("order_detail_id", "order_id", "dt", "sku_name", "sku_num", "final_detail_amount",
                        "user_gender", "user_age_group", "province_name", "rn", "total")
@@ -34,25 +34,25 @@ def srv_sale_detail_page(spark, sf_dir):
     "select dt, user_gender, count(*) n, count(*) / sum(count(*)) over (partition by dt) ratio "
     f"from wide where {MATCH_SQL} group by dt, user_gender", "wide"))
 def srv_gender_share(spark, sf_dir):
-    return serve.share_by(Warehouse(spark, sf_dir).wide, KEYWORD, "user_gender")
+    return serve.share_by(Warehouse.of(spark, sf_dir).wide, KEYWORD, "user_gender")
 
 
 @register("srv_age_share", with_ctes(
     "select dt, user_age_group, count(*) n, count(*) / sum(count(*)) over (partition by dt) ratio "
     f"from wide where {MATCH_SQL} group by dt, user_age_group", "wide"))
 def srv_age_share(spark, sf_dir):
-    return serve.share_by(Warehouse(spark, sf_dir).wide, KEYWORD, "user_age_group")
+    return serve.share_by(Warehouse.of(spark, sf_dir).wide, KEYWORD, "user_age_group")
 
 
 @register("srv_province_amount", with_ctes(
     "select dt, province_name, cast(sum(cast(final_detail_amount as decimal(18,2))) as double) amount "
     "from wide group by dt, province_name", "wide"))
 def srv_province_amount(spark, sf_dir):
-    return serve.province_amount(Warehouse(spark, sf_dir).wide)
+    return serve.province_amount(Warehouse.of(spark, sf_dir).wide)
 
 
 @register("prj_chart_points", with_ctes(
     "select dt, tm_name x, cast(sum(cast(final_detail_amount as decimal(18,2))) as double) y, '1' s "
     "from wide group by dt, tm_name", "wide"))
 def prj_chart_points(spark, sf_dir):
-    return serve.chart_points(marts.trademark_day(Warehouse(spark, sf_dir).wide))
+    return serve.chart_points(marts.trademark_day(Warehouse.of(spark, sf_dir).wide))

@@ -24,7 +24,7 @@ from emporia.operators import dau as dau_ops
 def snk_topic(spark, sf_dir):
     """Wide rows sent to the next topic keyed by order id (operator 55), read
     back and decoded."""
-    wide = Warehouse(spark, sf_dir).wide
+    wide = Warehouse.of(spark, sf_dir).wide
     topics = TopicStore(spark)
     msgs = wide.select(F.col("order_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"),
                        F.lit("DWS_ORDER_WIDE").alias("topic"))
@@ -42,7 +42,7 @@ def snk_dim_upsert(spark, sf_dir):
     """User dimension version 1 = version 0 (every level '0') upserted with
     the user change records that pass the CDC filter (operator 56).  Deletes
     do not pass the filter, so those users keep their old row."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     store = DimensionVersions(spark, scratch_dir(spark, "dim-user"))
     old = w.fx.user_info.select("id", F.lit("0").alias("user_level"), F.col("birthday").cast("string"), "gender")
     store.write_version(old, 0)
@@ -59,7 +59,7 @@ def snk_daily_docs(spark, sf_dir):
     """DAU documents written per day in two batches (even message offsets,
     then all), the second replayed once; read back merged on (day, device)
     (operator 57)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     rows = startup_docs(w).withColumnRenamed("event_id", "_offset")
     sink = DailyDocs(spark, scratch_dir(spark, "dau-docs"))
     sink.write(dau_ops.first_visit(rows.where(F.col("_offset") % 2 == 0), tie="_offset", keep_tie=True), 0)
@@ -73,7 +73,7 @@ def snk_daily_docs(spark, sf_dir):
     "select order_detail_id, order_id, dt, final_detail_amount, tm_name from wide", "wide"))
 def snk_wide_append(spark, sf_dir):
     """Wide rows appended to the day-partitioned wide table (operator 59)."""
-    wide = Warehouse(spark, sf_dir).wide.select("order_detail_id", "order_id", "dt", "final_detail_amount", "tm_name")
+    wide = Warehouse.of(spark, sf_dir).wide.select("order_detail_id", "order_id", "dt", "final_detail_amount", "tm_name")
     path = scratch_dir(spark, "order-wide")
     append_by_day(wide, path)
     back = spark.read.parquet(path)
@@ -84,7 +84,7 @@ def snk_wide_append(spark, sf_dir):
 @register("snk_log_archive", with_ctes("select dt, mid, ts from startup_dated", "startup_dated"))
 def snk_log_archive(spark, sf_dir):
     """Raw log lines archived as text, one folder per day (operator 61)."""
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     lines = messages.app_log_lines(w.fx)
     dated = lines.withColumn("dt", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
     path = scratch_dir(spark, "log-archive")

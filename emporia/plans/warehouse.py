@@ -17,7 +17,21 @@ from emporia.operators import dims, orders, split
 from emporia.sources.fixtures import Fixtures
 
 
+_SESSION_WAREHOUSES: dict[tuple[str, str, str], "Warehouse"] = {}
+
+
 class Warehouse:
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> "Warehouse":
+        """The session's warehouse over ``sf_dir``.  DataFrames are immutable
+        plans, so queries share one set of layer frames (built and analysed
+        once per application) instead of re-building them per query."""
+        key = (spark.sparkContext.applicationId, sf_dir, as_of)
+        w = _SESSION_WAREHOUSES.get(key)
+        if w is None:
+            w = _SESSION_WAREHOUSES[key] = cls(spark, sf_dir, as_of)
+        return w
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF):
         self.spark = spark
         self.sf_dir = sf_dir
