@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emporia.functions.labels import DEFAULT_AS_OF
 from emporia.operators import dims, orders, split
+from emporia.session import app_id
 from emporia.sources.fixtures import Fixtures
 
 
@@ -26,7 +27,7 @@ class Warehouse:
         """The session's warehouse over ``sf_dir``.  DataFrames are immutable
         plans, so queries share one set of layer frames (built and analysed
         once per application) instead of re-building them per query."""
-        key = (spark.sparkContext.applicationId, sf_dir, as_of)
+        key = (app_id(spark), sf_dir, as_of)
         w = _SESSION_WAREHOUSES.get(key)
         if w is None:
             w = _SESSION_WAREHOUSES[key] = cls(spark, sf_dir, as_of)

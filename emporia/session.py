@@ -73,12 +73,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="emporia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+    try:  # classic sessions: also the RDD checkpoint folder used by checkpoint()
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+    except Exception:  # pragma: no cover - sessions without a SparkContext handle
+        pass
     return root
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (caches are per application)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # pragma: no cover
+        return spark.conf.get("spark.app.id", str(id(spark)))
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emporia.session import scratch_dir
+from emporia.session import app_id, scratch_dir
 from emporia.sources.tables import table
 
 MONEY = "decimal(12,2)"
@@ -58,7 +58,7 @@ class Fixtures:
         return self._cache[name]
 
     def _stored(self, name, build) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (app_id(self.spark), self.sf_dir, name)
         path = _STORED.get(key)
         if path is None:
             path = scratch_dir(self.spark, f"source-{name}")
