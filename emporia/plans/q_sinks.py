@@ -13,7 +13,13 @@ from emporia.plans.fixture_sql import with_ctes
 from emporia.plans.q_dau import startup_docs
 from emporia.plans.warehouse import Warehouse
 from emporia.session import scratch_dir
-from emporia.sinks.writers import DailyDocs, DimensionVersions, append_by_day, archive_text_by_day
+from emporia.sinks.writers import (
+    DailyDocs,
+    DimensionVersions,
+    append_by_day,
+    archive_text_by_day,
+    read_day_partitioned,
+)
 from emporia.sources import messages
 from emporia.sources.topics import TopicStore
 from emporia.operators import dau as dau_ops
@@ -76,7 +82,7 @@ def snk_wide_append(spark, sf_dir):
     wide = Warehouse.of(spark, sf_dir).wide.select("order_detail_id", "order_id", "dt", "final_detail_amount", "tm_name")
     path = scratch_dir(spark, "order-wide")
     append_by_day(wide, path)
-    back = spark.read.parquet(path)
+    back = read_day_partitioned(spark, path)
     return back.select("order_detail_id", "order_id", "dt",
                        F.col("final_detail_amount").cast("double").alias("final_detail_amount"), "tm_name")
 
@@ -89,5 +95,5 @@ def snk_log_archive(spark, sf_dir):
     dated = lines.withColumn("dt", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
     path = scratch_dir(spark, "log-archive")
     archive_text_by_day(dated, path)
-    back = ingest.decode_app_log(spark.read.text(path), keep=("dt",))
+    back = ingest.decode_app_log(read_day_partitioned(spark, path, "text"), keep=("dt",))
     return back.select("dt", F.col("common.mid").alias("mid"), "ts")

@@ -15,6 +15,13 @@ from emporia.operators.dims import upsert_latest
 
 
 
+def read_day_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A ``partitionBy("dt")`` table read back with ``dt`` as ``yyyy-MM-dd``
+    text (partition discovery would infer a date)."""
+    df = spark.read.format(fmt).load(path)
+    return df.withColumn("dt", F.col("dt").cast("string"))
+
+
 def _dynamic_overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).format(fmt).save(path))
@@ -53,7 +60,8 @@ class DailyDocs:
         _dynamic_overwrite(docs.withColumn("batch_id", F.lit(batch_id)), self.path, ["dt", "batch_id"])
 
     def read(self) -> DataFrame:
-        raw = self.spark.read.parquet(self.path)
+        # partition discovery would type dt as a date; it is text in the docs
+        raw = read_day_partitioned(self.spark, self.path)
         tie = "_offset" if "_offset" in raw.columns else "batch_id"
         return dau_ops.first_visit(raw.drop("batch_id") if tie != "batch_id" else raw, tie=tie)
 

@@ -21,7 +21,11 @@ def test_every_query_has_a_name_and_most_have_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, sf_dir, name):
-    got = QUERIES[name](spark, sf_dir).toPandas()
+    from tools.typeclass import compare
+
+    q = QUERIES[name](spark, sf_dir)
+    assert compare(q.schema, duck.sql(ORACLES[name])) == []
+    got = q.toPandas()
     want = duck.execute(ORACLES[name]).df()
     gc, gr = canonical(got)
     wc, wr = canonical(want)
