@@ -55,7 +55,11 @@ def amount_split(wide: DataFrame, checkpoint: bool = False) -> DataFrame:
         F.max(F.when(F.col("_o") != 0, F.col("order_detail_id"))).alias("_last_pos_id"),
     )
     j = lines.join(stats, lines["order_id"] == stats["_sid"], "inner")
-    consistent = (T != 0) & (F.col("_sum_o") == T)
+    # One flag over both join sides decides the path.  Being a single
+    # expression over both sides, no part of it is pushed below the join, so
+    # the two branches below keep identical subtrees and share their shuffles
+    # (ReusedExchange) instead of re-running the upstream joins.
+    j = j.withColumn("_closed", F.when(T == 0, F.lit(True)).otherwise(F.coalesce(F.col("_sum_o") == T, F.lit(False))))
     did = F.col("order_detail_id")
 
     # T = 0: the first line's running total 0 equals T, so it takes F; a later
@@ -71,9 +75,9 @@ def amount_split(wide: DataFrame, checkpoint: bool = False) -> DataFrame:
               (Fp - (F.col("_sum_raw") - F.col("_raw"))).cast(MONEY))
         .otherwise(F.col("_raw"))
     )
-    easy = j.where((T == 0) | consistent).withColumn("final_detail_amount", closed_form.cast(MONEY))
+    easy = j.where(F.col("_closed")).withColumn("final_detail_amount", closed_form.cast(MONEY))
 
-    hard = j.where(~((T == 0) | consistent))
+    hard = j.where(~F.col("_closed"))
     w = Window.partitionBy("order_id").orderBy("order_detail_id")
     run = F.sum("_o").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     prev = F.coalesce(F.sum("_raw").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast(MONEY))
