@@ -30,9 +30,43 @@ def _raw_share(final_total, gross, total):
     return F.round(final_total * gross / total, 2).cast(MONEY)
 
 
-def amount_split(wide: DataFrame, checkpoint: bool = False) -> DataFrame:
+def order_stats(lines: DataFrame) -> DataFrame:
+    """Per-order aggregates of lines with ``order_id``, ``order_detail_id``,
+    ``_o`` (gross) and ``_raw`` (rounded share): partial-aggregated per task."""
+    return lines.groupBy(F.col("order_id").alias("_sid")).agg(
+        F.sum("_o").alias("_sum_o"),
+        F.sum("_raw").alias("_sum_raw"),
+        F.min("order_detail_id").alias("_first_id"),
+        F.max(F.when(F.col("_o") != 0, F.col("order_detail_id"))).alias("_last_pos_id"),
+    )
+
+
+def narrow_stats(order_detail: DataFrame, order_info: DataFrame) -> DataFrame:
+    """``order_stats`` from the narrow source tables (line id, order id, price,
+    quantity; order id, paid and gross totals) instead of the wide rows, so the
+    statistics do not re-run the dimension joins of the wide row.  Valid when
+    the wide rows are exactly the inner join of these lines and orders (the
+    dimension joins are left joins on unique keys)."""
+    d = order_detail.select(
+        F.col("id").alias("order_detail_id"), "order_id",
+        (F.col("order_price") * F.col("sku_num")).cast(MONEY).alias("_o"),
+    )
+    o = order_info.select(
+        F.col("id").alias("_oid"), F.col("final_total_amount").alias("_F"), F.col("original_total_amount").alias("_T"),
+    )
+    j = d.join(o, d["order_id"] == o["_oid"])
+    lines = j.select(
+        "order_id", "order_detail_id", "_o",
+        F.when(F.col("_T") != 0, _raw_share(F.col("_F"), F.col("_o"), F.col("_T"))).alias("_raw"),
+    )
+    return order_stats(lines)
+
+
+def amount_split(wide: DataFrame, checkpoint: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """Fill ``final_detail_amount`` of wide rows (columns of
-    ``orders.ORDER_WIDE_COLUMNS``, money as ``decimal(12,2)``)."""
+    ``orders.ORDER_WIDE_COLUMNS``, money as ``decimal(12,2)``).  ``stats``
+    (``order_stats``/``narrow_stats``) may be given; by default it is
+    aggregated from ``wide`` itself."""
     cols = wide.columns
     o = (F.col("sku_price") * F.col("sku_num")).cast(MONEY)
     T = F.col("original_total_amount")
@@ -48,12 +82,8 @@ def amount_split(wide: DataFrame, checkpoint: bool = False) -> DataFrame:
         # column; when the input is an expensive derivation, a reliable
         # checkpoint in the shared checkpoint folder cuts the lineage once.
         lines = lines.checkpoint(eager=True)
-    stats = lines.groupBy(F.col("order_id").alias("_sid")).agg(
-        F.sum("_o").alias("_sum_o"),
-        F.sum("_raw").alias("_sum_raw"),
-        F.min("order_detail_id").alias("_first_id"),
-        F.max(F.when(F.col("_o") != 0, F.col("order_detail_id"))).alias("_last_pos_id"),
-    )
+    if stats is None:
+        stats = order_stats(lines)
     j = lines.join(stats, lines["order_id"] == stats["_sid"], "inner")
     # One flag over both join sides decides the path.  Being a single
     # expression over both sides, no part of it is pushed below the join, so

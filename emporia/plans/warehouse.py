@@ -65,4 +65,5 @@ class Warehouse:
     @cached_property
     def wide(self) -> DataFrame:
         """Wide rows with ``final_detail_amount`` (money still decimal)."""
-        return split.amount_split(self.wide_unsplit)
+        stats = split.narrow_stats(self.fx.order_detail, self.fx.order_info)
+        return split.amount_split(self.wide_unsplit, stats=stats)
