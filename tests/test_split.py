@@ -137,3 +137,21 @@ def test_stream_split_lines_matches_reference_loop_across_batches(data):
     want = reference(orders)
     # the reference raises on a division by zero; compare the orders it can split
     assert {k: v for k, v in got.items() if want.get(k) is not None} == {k: v for k, v in want.items() if v is not None}
+
+
+def test_narrow_stats_equal_stats_from_wide_rows(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from emporia.operators.split import MONEY, _raw_share, narrow_stats, order_stats
+    from emporia.plans.warehouse import Warehouse
+
+    w = Warehouse.of(spark, sf_dir)
+    wide = w.wide_unsplit
+    T, Fp = F.col("original_total_amount"), F.col("final_total_amount")
+    lines = wide.select(
+        "order_id", "order_detail_id", (F.col("sku_price") * F.col("sku_num")).cast(MONEY).alias("_o"),
+        T, Fp,
+    ).withColumn("_raw", F.when(T != 0, _raw_share(Fp, F.col("_o"), T)))
+    a = order_stats(lines)
+    b = narrow_stats(w.fx.order_detail, w.fx.order_info)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
