@@ -52,5 +52,11 @@ def unpacked(df: DataFrame) -> DataFrame:
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text in order; a null text has none."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """Words of a text in order; a null text has none.
+
+    Texts whose only white space are spaces and line feeds are split without a regular expression.
+    """
+    plain = F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+    other = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\x0c")) | F.contains(text, F.lit("\r"))
+    none = F.array().cast("array<string>")
+    return F.when(text.isNull(), none).when(other, F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).otherwise(plain)

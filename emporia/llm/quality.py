@@ -1,16 +1,18 @@
 """Quality rules: base counts and distribution divergence from language references.
 
-Every document gets two histograms: its characters by class (letters, digits,
-punctuation, symbols, word breaks) and its words over the most common words
-of a language (one bin each, and one for all other words).  A language's
-reference holds the same histograms summed over all documents of that
-language.  A document diverges when the Jensen-Shannon distance (base 2, 0 to
-1) of a histogram is above its limit for every reference; one with fewer
-words than a histogram's minimum length isn't judged by it, as a short text's
-histogram is mostly chance.
-
-Everything is DataFrame expressions; a document is judged in its own row and
-texts are never shuffled.  What the driver holds is one reference a language.
+Every document gets two histograms: its characters by class (letters and
+digits, punctuation, symbols, word breaks) and its words over the most common
+words of a language (one bin each, and one for all other words).  A
+language's reference holds the medians of the same shares over all documents
+of that language, so that junk below half of them doesn't bend it; its common
+words are those found in most documents.  A document diverges when the
+Jensen-Shannon distance (base 2, 0 to 1) of a histogram is above its limit
+for every reference; one with fewer words than a histogram's minimum length
+isn't judged by it, as a short text's histogram is mostly chance.
+
+Everything is DataFrame expressions; a document's histograms are made in its
+own row and texts are never shuffled.  What the driver holds is one reference
+a language.
 
 Cases: a null or empty text has no words and fails the base rules; null
 languages make no reference and are compared with all; a table without
@@ -26,36 +28,37 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import WHITESPACE, let, packed, words_of
+from emporia.llm.common import WHITESPACE, let, packed, staged, words_of
 
 LEAST_WORDS = 10
 MOST_REPEAT_PCT = 20
 WINDOW = 5
 COMMON_WORDS = 12         # bins of a language's word histogram, besides all other words
 TRACKED_WORDS = 10_000    # counters of the heavy-hitter sketch that finds them
+MEDIAN_ACCURACY = 10_000
 MIN_WORDS_CHARS = 20      # shorter documents aren't judged by characters
-MIN_WORDS_WORDS = 60      # shorter documents aren't judged by common words
-MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.45
+MIN_WORDS_WORDS = 200     # shorter documents aren't judged by common words
+MAX_CHAR_DISTANCE = 0.16
+MAX_WORD_DISTANCE = 0.26
 
+FEW_COMMON = 0.05         # below this share of common words, all languages are tried
+
+LATIN = r"[a-zA-Z0-9À-ÖØ-öø-ɏ]+"
 SYMBOLS = r"[#*$%&|<>]+"
 PUNCTUATION = r"[\p{Pd}\p{Ps}\p{Pe}\p{Pi}\p{Pf}.,;:!?'\"¡¿…]+"
-REFERENCE = "array<struct<lang string, chars array<double>, words array<string>, freqs array<double>>>"
 
 
 def _without(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(""))
 
 
-def char_classes(text: Column, n_words: Column) -> Column:
-    """Characters of a text as [letters, digits, punctuation, symbols and others, word breaks]."""
-
-    def counts(solid: Column) -> Column:
-        return let(_without(solid, r"[\p{L}\p{M}]+"), lambda a: let(_without(a, r"\p{N}+"), lambda b: let(_without(b, PUNCTUATION), lambda c: F.array(
-            F.char_length(solid) - F.char_length(a), F.char_length(a) - F.char_length(b), F.char_length(b) - F.char_length(c), F.char_length(c), n_words.cast("int"),
-        ))))
+def char_shares(n_chars: Column, rest: Column, n_words: Column) -> Column:
+    """Shares of [letters and digits, punctuation, symbols and others, word breaks].
 
-    return let(_without(text, r"[\x20\x09-\x0D]+"), counts)
+    ``n_chars``: characters in words; ``rest``: those that are neither Latin letters nor ASCII digits.
+    """
+    counts = lambda a: let(_without(a, PUNCTUATION), lambda b: F.array(n_chars - F.char_length(a), F.char_length(a) - F.char_length(b), F.char_length(b), n_words))
+    return let(_without(rest, r"[\p{L}\p{M}\p{N}]+"), lambda a: let(counts(a).cast("array<double>"), _normed))
 
 
 def repeat_words(words: Column, size: int = WINDOW) -> Column:
@@ -63,8 +66,8 @@ def repeat_words(words: Column, size: int = WINDOW) -> Column:
 
     Windows are compared by a 64-bit hash; only texts with a repeated window sort them.
     """
-    starts = F.sequence(F.lit(0), F.size(words) - size)
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
+    each = F.transform(words, lambda w: F.xxhash64(w))
+    hashes = let(each, lambda h: F.slice(F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, size)])), 1, F.size(h) - (size - 1)))
 
     def covered(at: Column) -> Column:
         return F.aggregate(F.transform(at, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(at, k + 1) - p, F.lit(size)))), F.lit(0), lambda a, x: a + x)
@@ -87,15 +90,16 @@ def duplicate_lines(text: Column) -> Column:
 
 
 def base_counts(rows: DataFrame) -> DataFrame:
-    """``rows`` with _text and _words, plus the five base counts and the base verdict."""
-    solid = F.coalesce(F.char_length(_without(F.col("_text"), r"[\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    symbols = F.coalesce(F.char_length("_text") - F.char_length(_without(F.col("_text"), SYMBOLS)), F.lit(0)).cast("long")
-    out = rows.select(
-        "*", F.size("_words").cast("long").alias("_n_words"), solid.alias("_word_chars"), symbols.alias("_n_symbols"),
+    """``rows`` (_text) with _words, _rest, the five base counts and the base verdict."""
+    rows = rows.withColumn("_words", words_of(F.col("_text")))
+    rows = rows.withColumn("_solid", F.array_join("_words", ""))
+    rows = rows.select(
+        "*", F.size("_words").cast("long").alias("_n_words"), F.char_length("_solid").cast("long").alias("_word_chars"), _without(F.col("_solid"), LATIN).alias("_rest"),
         duplicate_lines(F.col("_text")).alias("_n_dup_lines"), repeat_words(F.col("_words")).alias("_n_repeat_words"),
-    )
+    ).drop("_solid")
+    rows = rows.withColumn("_n_symbols", (F.char_length("_rest") - F.char_length(_without(F.col("_rest"), SYMBOLS))).cast("long"))
     failed = (F.col("_n_words") < LEAST_WORDS) | (100 * F.col("_n_repeat_words") > MOST_REPEAT_PCT * F.col("_n_words"))
-    return out.withColumn("_base_failed", failed)
+    return rows.withColumn("_base_failed", failed)
 
 
 def _normed(counts: Column) -> Column:
@@ -110,74 +114,91 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)))
 
 
-def _common_counts(words: Column, bins: Column) -> Column:
-    """Occurrences of each word of ``bins``."""
-    found = F.filter(words, lambda w: F.array_contains(bins, w))
-    return let(found, lambda c: F.transform(bins, lambda b: F.size(F.filter(c, lambda w: w == b))))
+def common_words(docs: DataFrame) -> dict[str, list[str]]:
+    """The words found in most documents of each language, from one bounded heavy-hitter sketch a language and task."""
+    rows = docs.where(F.col("lang").isNotNull()).select("lang", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
+    top = rows.groupBy("lang").agg(F.expr(f"approx_top_k(word, {COMMON_WORDS}, {TRACKED_WORDS})").alias("top")).collect()
+    return {r.lang: sorted(x["item"] for x in r.top) for r in sorted(top)}
 
 
-def language_references(docs: DataFrame) -> list[dict]:
-    """One reference a language, over all documents with a language: a few hundred bytes each.
+def histograms(rows: DataFrame, bins: dict[str, list[str]]) -> DataFrame:
+    """``rows`` (_words, _rest, _lang, counts) with _chars (shares) and _tries (lang, shares of its bins).
 
-    The common words come from a heavy-hitter sketch per language (merged
-    from map-side sketches, bounded in size); their shares and the character
-    classes are then counted exactly.
+    A document's own language is the one to try; a document without one, or
+    with few common words of its own, is tried against all.
     """
-    rows = docs.where(F.col("lang").isNotNull()).select("lang", F.col("text").alias("_text"), words_of(F.col("text")).alias("_words"))
-    each = rows.select("lang", F.explode("_words").alias("word"))
-    top = each.groupBy("lang").agg(F.expr(f"approx_top_k(word, {COMMON_WORDS}, {TRACKED_WORDS})").alias("top")).collect()
-    bins = {r.lang: sorted(x["item"] for x in r.top) for r in top}
+    rows = rows.withColumn("_chars", char_shares(F.col("_word_chars"), F.col("_rest"), F.col("_n_words")))
     if not bins:
-        return []
-    table = F.from_json(F.lit(json.dumps(bins)), "map<string, array<string>>")
-    hist = rows.withColumn("_bins", F.element_at(table, F.col("lang"))).where(F.col("_bins").isNotNull())
-    hist = hist.select("lang", F.size("_words").alias("n"), char_classes(F.col("_text"), F.size("_words")).alias("c"), _common_counts(F.col("_words"), F.col("_bins")).alias("w"))
-    sums = [F.sum("n").alias("n")] + [F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(5)] + [F.sum(F.get("w", F.lit(i))).alias(f"w{i}") for i in range(COMMON_WORDS)]
+        return rows.withColumn("_tries", F.array().cast("array<struct<lang: string, shares: array<double>>>"))
+    found = F.filter("_words", lambda w: w.isin(sorted({w for ws in bins.values() for w in ws})))
+    n = F.greatest(F.col("_n_words"), F.lit(1))
+
+    def shares(words: Column) -> Column:
+        counts = F.transform(words, lambda b: F.size("_found") - F.size(F.array_remove(F.col("_found"), b)))
+        return let(counts, lambda c: F.transform(F.concat(c, F.array((n - F.aggregate(c, F.lit(0), lambda a, x: a + x)).cast("int"))), lambda x: x / n))
+
+    table = F.from_json(F.lit(json.dumps([{"lang": k, "words": v} for k, v in bins.items()])), "array<struct<lang: string, words: array<string>>>")
+    tried = lambda refs: F.transform(refs, lambda r: F.struct(r.lang.alias("lang"), shares(r.words).alias("shares")))
+    own = tried(F.filter(table, lambda r: r.lang == F.col("_lang")))
+    enough = lambda t: F.exists(t, lambda r: F.element_at(r.shares, -1) <= 1 - FEW_COMMON)
+    rows = rows.withColumn("_found", found)
+    return rows.withColumn("_tries", let(own, lambda t: F.when(enough(t), t).otherwise(tried(table)))).drop("_found")
+
+
+def references(hist: DataFrame, bins: dict[str, list[str]]) -> list[dict]:
+    """Median histograms of each language over its documents (_lang, _n_words, _chars, _tries); a row a language."""
+    rows = hist.where(F.col("_lang").isNotNull() & (F.col("_n_words") >= LEAST_WORDS))
+    own = F.element_at(F.filter("_tries", lambda t: t.lang == F.col("_lang")).shares, 1)
+    rows = rows.select("_lang", F.col("_chars").alias("c"), own.alias("w"))
+    median = lambda c, i: F.percentile_approx(F.get(c, F.lit(i)), 0.5, MEDIAN_ACCURACY).alias(f"{c}{i}")
     out = []
-    for r in hist.groupBy("lang").agg(*sums).orderBy("lang").collect():
-        chars = [r[f"c{i}"] or 0 for i in range(5)]
-        words = [r[f"w{i}"] or 0 for i in range(len(bins[r.lang]))]
-        if r.n and sum(chars):
-            out.append({"lang": r.lang, "chars": [x / sum(chars) for x in chars], "words": bins[r.lang], "freqs": [x / r.n for x in words] + [1 - sum(words) / r.n]})
-    return out
+    for r in rows.groupBy("_lang").agg(*[median("c", i) for i in range(4)], *[median("w", i) for i in range(COMMON_WORDS + 1)]).collect():
+        chars, words = [r[f"c{i}"] for i in range(4)], [r[f"w{i}"] for i in range(len(bins[r._lang]) + 1)]
+        out.append({"lang": r._lang, "chars": [x / sum(chars) for x in chars], "shares": [x / sum(words) for x in words]})
+    return sorted(out, key=lambda r: r["lang"])
 
 
-def diverges(rows: DataFrame, references: list[dict]) -> DataFrame:
-    """``rows`` (_text, _words, _lang, _n_words) with _diverges: far from every language's reference.
+def diverges(refs: list[dict]) -> Column:
+    """Whether _chars and _tries are far from every reference that was tried."""
+    if not refs:
+        return F.lit(False)
+    table = F.from_json(F.lit(json.dumps(refs)), "array<struct<lang: string, chars: array<double>, shares: array<double>>>")
+    n = F.col("_n_words")
 
-    The document's own language is tried first; the others only when it doesn't fit.
-    """
-    if not references:
-        return rows.withColumn("_diverges", F.lit(False))
-    table = F.from_json(F.lit(json.dumps(references)), REFERENCE)
-    rows = rows.withColumn("_hist", _normed(char_classes(F.col("_text"), F.col("_n_words")).cast("array<double>")))
+    def near(tried: Column) -> Column:
+        def like(ref: Column) -> Column:
+            chars = js_distance(F.col("_chars"), ref.chars) <= MAX_CHAR_DISTANCE
+            words = (n < MIN_WORDS_WORDS) | (js_distance(tried.shares, ref.shares) <= MAX_WORD_DISTANCE)
+            return chars & words
 
-    def near(ref: Column) -> Column:
-        n = F.col("_n_words")
+        return F.exists(table, lambda ref: F.when(ref.lang == tried.lang, like(ref)).otherwise(False))
 
-        def by_words(c: Column) -> Column:
-            rest = F.aggregate(c, F.lit(0), lambda a, x: a + x)
-            shares = F.transform(F.concat(c, F.array((n - rest).cast("int"))), lambda x: x / n)
-            return js_distance(shares, ref.freqs) <= MAX_WORD_DISTANCE
+    return F.when(n < MIN_WORDS_CHARS, False).otherwise(~F.exists("_tries", near))
 
-        like_chars = (n < MIN_WORDS_CHARS) | (js_distance(F.col("_hist"), ref.chars) <= MAX_CHAR_DISTANCE)
-        like_words = F.when(n < MIN_WORDS_WORDS, True).otherwise(let(_common_counts(F.col("_words"), ref.words), by_words))
-        return F.when(like_chars, like_words).otherwise(False)
 
-    own = F.exists(F.filter(table, lambda r: r.lang == F.col("_lang")), near)
-    any_ = F.exists(F.filter(table, lambda r: ~r.lang.eqNullSafe(F.col("_lang"))), near)
-    judged = F.col("_n_words") >= min(MIN_WORDS_CHARS, MIN_WORDS_WORDS)
-    return rows.withColumn("_diverges", F.when(~judged, False).when(own, False).otherwise(~any_)).drop("_hist")
+def _judged(rows: DataFrame, refs: list[dict]) -> DataFrame:
+    return rows.withColumn("_kept", ~F.col("_base_failed") & ~diverges(refs))
+
+
+COUNTS = ["_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words", "_base_failed"]
 
 
 def assess(docs: DataFrame) -> DataFrame:
-    """Each document's row in ``_row``, its base counts, base verdict and ``_kept``."""
-    references = language_references(docs)
-    rows = packed(docs, _text="text", _lang="lang").withColumn("_words", words_of(F.col("_text")))
-    judged = diverges(base_counts(rows), references)
-    return judged.withColumn("_kept", ~F.col("_base_failed") & ~F.col("_diverges")).drop("_words")
+    """_id (doc_id), the base counts, the base verdict and _kept of every document.
+
+    The texts are read twice: for the common words, and for the counts and
+    histograms, which are written and judged from there.
+    """
+    bins = common_words(docs)
+    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang"))
+    hist = histograms(base_counts(rows), bins).select("_id", "_lang", *COUNTS, "_chars", "_tries")
+    hist = staged(hist, "quality-histograms")
+    return _judged(hist, references(hist, bins)).select("_id", *COUNTS, "_kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns they came with."""
-    return assess(docs).where("_kept").select("_row.*")
+    """The documents that pass, with the columns they came with; texts stay where they are and are read a third time."""
+    bins = common_words(docs)
+    rows = packed(docs, _text="text", _lang="lang")
+    whole = histograms(base_counts(rows), bins)
+    return _judged(whole, references(whole, bins)).where("_kept").select("_row.*")

@@ -47,7 +47,7 @@ def mixing_query(spark, sf_dir):
 def quality_query(spark, sf_dir):
     judged = quality.assess(table(spark, sf_dir, "documents"))
     named = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select(F.col("_row.doc_id").alias("doc_id"), *[F.col(f"_{c}").alias(c) for c in named])
+    return judged.select(F.col("_id").alias("doc_id"), *[F.col(f"_{c}").alias(c) for c in named])
 
 
 @_query("op4_decontamination")
