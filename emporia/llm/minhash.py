@@ -10,16 +10,23 @@ single class is in no pair, so a class has m useful lists, and one that agrees
 with another on ``MATCHES`` lists meets it in its ``m - MATCHES + 1`` rarest
 ones too (all lists have one global order, by length): only that prefix is
 posted, and the long lists of passages that many documents share are skipped,
-though they count when the collisions of two signatures are.
+though they count when the collisions of two signatures are.  Linked sets
+share at least 75 % of each one's shingles and 3/7 of both sizes' sum; a
+class of which more than 25 % occur in no other posted class is in no link and
+leaves the lists, which are then made anew without it, and two classes are
+paired only if the smaller count of shingles found elsewhere allows a link.
+So documents that a long passage or a common origin makes alike, but not alike
+enough, are hardly ever paired.
 
 Only the linked components are wanted, so a list needn't be turned into all
 of its pairs.  Its members are first paired with one center, for a few rounds
-with other centers, always leaving out what is in the center's component
-already; then all that lies outside a list's main component is paired with
-all members of other components.  When no list spans two components, every
-pair has been confirmed, refused or joined through others, and no link is
-lost but by the signature (a pair at similarity 0.75 fails to agree on 12 of
-32 coordinates in about 2 of 1,000,000 cases).
+with another center, leaving out what is in the center's component already.
+The members of lists that still span several components are joined exactly:
+two sets of that similarity share one of each one's rarest shingles (a
+quarter of the larger's, a seventh of the smaller's), not too far down in
+either's order.  Then no link is left but what the signature loses (a pair at
+similarity 0.75 fails to agree on 12 of 32 coordinates in about 2 of 1,000,000
+cases).
 
 Cases: a null or empty text has no shingles and is linked with nothing; a
 text under five words is one shingle; a null doc_id takes no part and is
@@ -41,7 +48,7 @@ from emporia.llm.common import SHINGLE_WORDS, SIMILARITY_PCT, packed, staged
 
 COORDINATES = 32
 MATCHES = 12
-CENTER_ROUNDS = 3
+CENTER_ROUNDS = 2
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -105,13 +112,13 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """key, node, sig: the prefix of every class's posting lists, rarest first."""
+    """key and the class's columns (node, sig, ...): the prefix of every class's posting lists, rarest first."""
     all_lists = classes.select("node", F.posexplode("sig").alias("coordinate", "value"))
     all_lists = all_lists.select("node", F.xxhash64("coordinate", "value").alias("key"))
     lengths = all_lists.groupBy("key").agg(F.count("node").alias("length")).where(F.col("length") > 1)
     useful = all_lists.join(lengths, "key").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("length", "key"))).alias("lists"))
     prefix = useful.where(F.size("lists") >= MATCHES).select("node", F.explode(F.slice("lists", 1, F.size("lists") - (MATCHES - 1))).alias("list"))
-    return prefix.select("node", "list.key").join(classes.select("node", "sig"), "node")
+    return prefix.select("node", "list.key").join(classes, "node")
 
 
 def _collisions(a: Column, b: Column) -> Column:
@@ -130,6 +137,19 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return wanted.mapInArrow(sets, f"node {_id_type(docs)}, hashes array<bigint>")
 
 
+def linkable(sets: DataFrame) -> DataFrame:
+    """node and shared (its shingles that occur in other sets too) where those are enough for a link.
+
+    A shingle found once names its only node, so own shingles are counted without a join.
+    """
+    each = sets.select("node", F.explode("hashes").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("node").alias("n"), F.min("node").alias("node")).where(F.col("n") == 1)
+    own = alone.groupBy("node").agg(F.count("n").alias("own"))
+    sizes = sets.groupBy("node").agg(F.max(F.size("hashes")).alias("size"))
+    found = sizes.join(own, "node", "left").withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0)))
+    return found.where(100 * F.col("shared") >= SIMILARITY_PCT * F.col("size")).select("node", "shared")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
@@ -171,6 +191,27 @@ def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return staged(moved.union(new), "labels")
 
 
+def rare_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different labels that may be linked, by prefixes of their rarest shingles.
+
+    With all shingles of (node, label, hashes) in one order, rarest first, a
+    shingle at places i and j leaves at most ``min(n - i, m - j)`` shingles in
+    common with it and after it; a link needs 3/7 of both sizes' sum.
+    """
+    each = sets.select("node", "label", F.explode("hashes").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count("node").alias("found"))
+    order = each.join(counts, "shingle").groupBy("node", "label").agg(F.sort_array(F.collect_set(F.struct("found", "shingle"))).alias("order"))
+    reach = F.floor(F.size("order") * (100 - SIMILARITY_PCT) / 100).cast("int") + 1
+    prefix = order.select("node", "label", F.size("order").alias("n"), F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "s"))
+    prefix = staged(prefix.select("node", "label", "n", "place", "s.shingle").where(F.col("s.found") > 1), "rare-shingles")
+    large = prefix.select("shingle", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("place").alias("px"))
+    both = large.join(prefix, "shingle").where(
+        (F.col("lx") != F.col("label")) & ((F.col("nx") > F.col("n")) | ((F.col("nx") == F.col("n")) & (F.col("x") > F.col("node"))))
+        & ((100 + SIMILARITY_PCT) * F.least(F.col("n"), F.col("nx") - F.col("px"), F.col("n") - F.col("place")) >= SIMILARITY_PCT * (F.col("nx") + F.col("n")))
+    )
+    return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
 def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, label over all confirmed links of the posting lists' members."""
     labels = None
@@ -183,14 +224,13 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
                 break
         if step < CENTER_ROUNDS:
             order = F.col("node") if not step else F.xxhash64(F.lit(step), "key", "node")
-            center = here.groupBy("key").agg(F.min_by(F.struct(F.col("node").alias("a"), F.col("sig").alias("sa"), F.col("label").alias("la")), order).alias("c")).select("key", "c.*")
+            center = here.groupBy("key").agg(F.min_by(F.struct(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shared").alias("shared_a"), F.col("sig").alias("sa"), F.col("label").alias("la")), order).alias("c")).select("key", "c.*")
             pairs = here.join(center, "key")
+            alike = (100 + SIMILARITY_PCT) * F.least("n", "na", "shared_a", "shared") >= SIMILARITY_PCT * (F.col("na") + F.col("n"))
+            pairs = pairs.where((F.col("la") != F.col("label")) & alike & (_collisions(F.col("sa"), F.col("sig")) >= MATCHES))
+            pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         else:
-            main = here.groupBy("key", "label").agg(F.count("node").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-            rest = here.join(main, "key").where(F.col("label") != F.col("main")).select("key", F.col("node").alias("a"), F.col("sig").alias("sa"), F.col("label").alias("la"))
-            pairs = rest.join(here, "key")
-        pairs = pairs.where((F.col("la") != F.col("label")) & (_collisions(F.col("sa"), F.col("sig")) >= MATCHES))
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+            pairs = rare_pairs(sets.join(here.select("node", "label").distinct(), "node"))
         edges = staged(confirmed(pairs, sets), "edges")
         labels = _relabelled(labels, edges)
     return labels
@@ -200,9 +240,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, set_id, n_shingles, component_id, kept for every document row."""
     rows = staged(sketches(docs), "sketches")
     named = rows.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    classes = staged(named.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "classes")
-    members = staged(postings(classes), "postings")
-    sets = staged(full_sets(docs, members.select("node").distinct()), "sets")
+    classes = staged(named.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    classes_of = classes.select("node", "n", "sig")
+    posted = postings(classes_of).select("node").distinct()
+    sets = staged(full_sets(docs, posted), "sets")
+    near = staged(linkable(sets), "linkable")
+    members = staged(postings(classes_of.join(near, "node")), "postings")
     labels = linked_nodes(members, sets).select(F.col("node").alias("l_node"), "label")
     classes = classes.join(labels, F.col("node") == F.col("l_node"), "left").select(F.col("set_id").alias("c_set"), F.coalesce("label", "node").alias("component"))
     out = rows.join(classes, F.col("set_id") == F.col("c_set"), "left")
