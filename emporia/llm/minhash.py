@@ -199,15 +199,18 @@ def rare_pairs(sets: DataFrame) -> DataFrame:
     common with it and after it; a link needs 3/7 of both sizes' sum.
     """
     each = sets.select("node", "label", F.explode("hashes").alias("shingle"))
+    sigs = sets.groupBy("node").agg(F.first("sig").alias("sig"))
     counts = each.groupBy("shingle").agg(F.count("node").alias("found"))
     order = each.join(counts, "shingle").groupBy("node", "label").agg(F.sort_array(F.collect_set(F.struct("found", "shingle"))).alias("order"))
     reach = F.floor(F.size("order") * (100 - SIMILARITY_PCT) / 100).cast("int") + 1
     prefix = order.select("node", "label", F.size("order").alias("n"), F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "s"))
-    prefix = staged(prefix.select("node", "label", "n", "place", "s.shingle").where(F.col("s.found") > 1), "rare-shingles")
-    large = prefix.select("shingle", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("place").alias("px"))
+    prefix = prefix.where(F.col("s.found") > 1).select("node", "label", "n", "place", "s.shingle").join(sigs, "node")
+    prefix = staged(prefix, "rare-shingles")
+    large = prefix.select("shingle", F.col("sig").alias("sx"), F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("place").alias("px"))
     both = large.join(prefix, "shingle").where(
         (F.col("lx") != F.col("label")) & ((F.col("nx") > F.col("n")) | ((F.col("nx") == F.col("n")) & (F.col("x") > F.col("node"))))
         & ((100 + SIMILARITY_PCT) * F.least(F.col("n"), F.col("nx") - F.col("px"), F.col("n") - F.col("place")) >= SIMILARITY_PCT * (F.col("nx") + F.col("n")))
+        & (_collisions(F.col("sx"), F.col("sig")) >= MATCHES)
     )
     return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
@@ -230,7 +233,7 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
             pairs = pairs.where((F.col("la") != F.col("label")) & alike & (_collisions(F.col("sa"), F.col("sig")) >= MATCHES))
             pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         else:
-            pairs = rare_pairs(sets.join(here.select("node", "label").distinct(), "node"))
+            pairs = rare_pairs(sets.join(here.groupBy("node", "label").agg(F.first("sig").alias("sig")), "node"))
         edges = staged(confirmed(pairs, sets), "edges")
         labels = _relabelled(labels, edges)
     return labels

@@ -11,8 +11,8 @@ for every reference; one with fewer words than a histogram's minimum length
 isn't judged by it, as a short text's histogram is mostly chance.
 
 Everything is DataFrame expressions; a document's histograms are made in its
-own row and texts are never shuffled.  What the driver holds is one reference
-a language.
+own row and judged without its text.  What the driver holds is one reference a
+language.
 
 Cases: a null or empty text has no words and fails the base rules; null
 languages make no reference and are compared with all; a table without
@@ -184,21 +184,25 @@ COUNTS = ["_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_wo
 
 
 def assess(docs: DataFrame) -> DataFrame:
-    """_id (doc_id), the base counts, the base verdict and _kept of every document.
+    """_id (doc_id), _tie, the base counts, the base verdict and _kept of every document.
 
     The texts are read twice: for the common words, and for the counts and
     histograms, which are written and judged from there.
     """
     bins = common_words(docs)
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("lang").alias("_lang"))
-    hist = histograms(base_counts(rows), bins).select("_id", "_lang", *COUNTS, "_chars", "_tries")
+    rows = docs.select(F.col("doc_id").alias("_id"), _tie(), F.col("text").alias("_text"), F.col("lang").alias("_lang"))
+    hist = histograms(base_counts(rows), bins).select("_id", "_tie", "_lang", *COUNTS, "_chars", "_tries")
     hist = staged(hist, "quality-histograms")
-    return _judged(hist, references(hist, bins)).select("_id", *COUNTS, "_kept")
+    return _judged(hist, references(hist, bins)).select("_id", "_tie", *COUNTS, "_kept")
+
+
+def _tie() -> Column:
+    """Tells documents under one doc_id apart by all that is judged."""
+    return F.xxhash64("text", "lang").alias("_tie")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns they came with; texts stay where they are and are read a third time."""
-    bins = common_words(docs)
-    rows = packed(docs, _text="text", _lang="lang")
-    whole = histograms(base_counts(rows), bins)
-    return _judged(whole, references(whole, bins)).where("_kept").select("_row.*")
+    """The documents that pass, with the columns they came with."""
+    gone = assess(docs).where(~F.col("_kept")).select(F.col("_id").alias("_g_id"), F.col("_tie").alias("_g_tie")).distinct()
+    rows = packed(docs, _id="doc_id").withColumn("_tie", F.xxhash64("_row.text", "_row.lang"))
+    return rows.join(gone, F.col("_id").eqNullSafe(F.col("_g_id")) & (F.col("_tie") == F.col("_g_tie")), "left_anti").select("_row.*")
