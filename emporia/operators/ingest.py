@@ -55,20 +55,15 @@ def decode_cdc_row(envelopes: DataFrame, value: str = "value") -> DataFrame:
 
 def cdc_rowform_filter(env: DataFrame) -> DataFrame:
     """Keep the change rows the downstream jobs consume, with the target topic
-    (operators 13, 17).  The predicate is kept exactly as the reference writes
-    it, including ``&&`` binding before ``||`` (D3): a ``bootstrap-insert`` of
-    any table passes, updates of sku/spu/trademark/category do not."""
+    (operators 13, 17): initial loads of any table, new rows of the two order
+    tables, and new or changed rows of provinces and users (D3)."""
     table, typ, data = F.col("table"), F.col("type"), F.col("data")
-    ins, upd, boot = typ == "insert", typ == "update", typ == "bootstrap-insert"
-    keep = (
-        data.isNotNull() & (F.length(data) > 2) & typ.isNotNull()
-        & (
-            ((table == "order_info") & ins)
-            | ((table == "order_detail") & ins)
-            | (((table == "base_province") & (ins | upd)) | boot)
-            | (((table == "user_info") & (ins | upd)) | boot)
-        )
+    wanted_types = (
+        F.when(table.isin("order_info", "order_detail"), F.array(F.lit("insert")))
+        .when(table.isin("base_province", "user_info"), F.array(F.lit("insert"), F.lit("update")))
+        .otherwise(F.array().cast("array<string>"))
     )
+    keep = (F.length(data) > 2) & ((typ == "bootstrap-insert") | F.array_contains(wanted_types, typ))
     return env.where(F.coalesce(keep, F.lit(False))).withColumn("topic", cdc_topic(table))
 
 

@@ -20,9 +20,10 @@ TOP_K_SALTS = 64
 
 
 def token_match(text: Column, term: str) -> Column:
-    """Analysed-text match: lower-case, split on non-word characters, look
+    """Analysed-text match: lower-case, split on what is neither a
+    letter nor a digit of any script, look
     for the (lower-cased) term among the tokens."""
-    return F.array_contains(F.split(F.lower(text), r"\W+"), term.lower())
+    return F.array_contains(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), term.lower())
 
 
 def search_docs(docs: DataFrame, text_col: str, term: str, range_col: str, lo, hi) -> DataFrame:

@@ -35,6 +35,7 @@ def order_stats(lines: DataFrame) -> DataFrame:
     ``_o`` (gross) and ``_raw`` (rounded share): partial-aggregated per task."""
     return lines.groupBy(F.col("order_id").alias("_sid")).agg(
         F.sum("_o").alias("_sum_o"),
+        F.min("_o").alias("_min_o"),
         F.sum("_raw").alias("_sum_raw"),
         F.min("order_detail_id").alias("_first_id"),
         F.max(F.when(F.col("_o") != 0, F.col("order_detail_id"))).alias("_last_pos_id"),
@@ -62,7 +63,7 @@ def narrow_stats(order_detail: DataFrame, order_info: DataFrame) -> DataFrame:
     return order_stats(lines)
 
 
-def amount_split(wide: DataFrame, checkpoint: bool = False, stats: DataFrame | None = None) -> DataFrame:
+def amount_split(wide: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Fill ``final_detail_amount`` of wide rows (columns of
     ``orders.ORDER_WIDE_COLUMNS``, money as ``decimal(12,2)``).  ``stats``
     (``order_stats``/``narrow_stats``) may be given; by default it is
@@ -75,13 +76,6 @@ def amount_split(wide: DataFrame, checkpoint: bool = False, stats: DataFrame | N
         wide.withColumn("_o", o)
         .withColumn("_raw", F.when(T != 0, _raw_share(Fp, F.col("_o"), T)))
     )
-    if checkpoint:
-        # The three consumers below (stats, closed form, running-sum path)
-        # each re-run the upstream plan.  Over stored DWD tables that is a
-        # pruned re-scan (the stats read four columns) and beats writing every
-        # column; when the input is an expensive derivation, a reliable
-        # checkpoint in the shared checkpoint folder cuts the lineage once.
-        lines = lines.checkpoint(eager=True)
     if stats is None:
         stats = order_stats(lines)
     j = lines.join(stats, lines["order_id"] == stats["_sid"], "inner")
@@ -89,7 +83,7 @@ def amount_split(wide: DataFrame, checkpoint: bool = False, stats: DataFrame | N
     # expression over both sides, no part of it is pushed below the join, so
     # the two branches below keep identical subtrees and share their shuffles
     # (ReusedExchange) instead of re-running the upstream joins.
-    j = j.withColumn("_closed", F.when(T == 0, F.lit(True)).otherwise(F.coalesce(F.col("_sum_o") == T, F.lit(False))))
+    j = j.withColumn("_closed", F.when(T == 0, F.lit(True)).otherwise(F.coalesce((F.col("_sum_o") == T) & (F.col("_min_o") >= 0), F.lit(False))))
     did = F.col("order_detail_id")
 
     # T = 0: the first line's running total 0 equals T, so it takes F; a later
@@ -110,36 +104,17 @@ def amount_split(wide: DataFrame, checkpoint: bool = False, stats: DataFrame | N
     hard = j.where(~F.col("_closed"))
     w = Window.partitionBy("order_id").orderBy("order_detail_id")
     run = F.sum("_o").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    prev = F.coalesce(F.sum("_raw").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast(MONEY))
     rn = F.row_number().over(w)
+    # A line that completes T takes what is left of F; after it the shares add
+    # up to F, so a later completing line only undoes the shares in between.
+    hard = hard.withColumn("_done", (rn > 1) & (run == T))
+    earlier = F.sum(F.col("_done").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    hard = hard.withColumn("_part", F.coalesce(earlier, F.lit(0)))
+    in_part = Window.partitionBy("order_id", "_part").orderBy("order_detail_id").rowsBetween(Window.unboundedPreceding, -1)
+    given = F.coalesce(F.sum("_raw").over(in_part), F.lit(0).cast(MONEY))
+    left = F.when(F.col("_part") == 0, Fp).otherwise(F.lit(0).cast(MONEY)) - given
     hard = hard.withColumn(
         "final_detail_amount",
-        F.when((rn > 1) & (run == T) & (F.col("_o") != 0), (Fp - prev).cast(MONEY)).otherwise(F.col("_raw")),
+        F.when(F.col("_done") & (F.col("_o") != 0), left.cast(MONEY)).otherwise(F.col("_raw")),
     )
     return easy.select(*cols).unionByName(hard.select(*cols))
-
-
-def split_reference_loop(lines):
-    """Literal sequential version of the reference's loop, for tests.
-
-    ``lines``: list of (detail_id, o, T, F) for one order, as Decimals, in
-    arrival order.  Returns {detail_id: share}.
-    """
-    from decimal import ROUND_HALF_UP, Decimal
-
-    origin, final = {}, {}
-    out = {}
-    for did, o, T, Fv in lines:
-        acc = Decimal(0)
-        if origin:
-            origin[did] = o
-            acc = sum(origin.values(), Decimal(0))
-        if T == acc:
-            others = sum((v for k, v in final.items() if k != did), Decimal(0))
-            share = (Fv - others).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
-        else:
-            share = (Fv * o / T).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
-        final[did] = share
-        origin[did] = o
-        out[did] = share
-    return out

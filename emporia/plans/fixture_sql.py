@@ -98,11 +98,11 @@ left join (select l_orderkey, cast(sum(cast(l_extendedprice as decimal(12,2))) a
 """)
 
 _cte("order_detail", """
-select l_orderkey * 1000 + n id, l_orderkey order_id, l_partkey sku_id,
+select l_orderkey * 1000000000 + n id, l_orderkey order_id, l_partkey sku_id,
        cast(l_extendedprice as decimal(12,2)) order_price, 1 sku_num, p_name sku_name,
        o_orderdate + to_seconds(cast(o_orderkey * 7919 % 86400 as bigint))
-         + to_seconds(cast(case when n % 2 = 0 then (l_orderkey * 1000 + n) * 31 % 11
-                                else (l_orderkey * 1000 + n) * 31 % 900 end as bigint)) create_time
+         + to_seconds(cast(case when n % 2 = 0 then (l_orderkey * 1000000000 + n) * 31 % 11
+                                else (l_orderkey * 1000000000 + n) * 31 % 900 end as bigint)) create_time
 from (select *, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber,
              l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) n
       from lineitem) l

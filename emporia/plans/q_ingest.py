@@ -115,7 +115,7 @@ def prj_to_json(spark, sf_dir):
 
 @register("src_search_docs", with_ctes(
     "select id, sku_name, tm_id from skus where tm_id between 6 and 10 "
-    "and list_contains(regexp_split_to_array(lower(sku_name), '\\W+'), 'red')", "skus"))
+    "and list_contains(regexp_split_to_array(lower(sku_name), '[^\\p{L}\\p{N}_]+'), 'red')", "skus"))
 def src_search_docs(spark, sf_dir):
     """Document search: numeric range filter (6..10) AND a term match on the
     analysed name (lower-cased, split on non-word characters) (operator 5)."""

@@ -13,7 +13,7 @@ KEYWORD = "red"
 STARTPAGE = 2
 PAGE_SIZE = 5
 
-MATCH_SQL = f"list_contains(regexp_split_to_array(lower(sku_name), '\\W+'), '{KEYWORD}')"
+MATCH_SQL = f"list_contains(regexp_split_to_array(lower(sku_name), '[^\\p{{L}}\\p{{N}}_]+'), '{KEYWORD}')"
 
 
 @register("srv_sale_detail_page", with_ctes(

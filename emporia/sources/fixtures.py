@@ -238,7 +238,7 @@ class Fixtures:
                 F.col("o_orderkey").alias("l_orderkey"),
                 order_create_time(F.col("o_orderkey"), F.col("o_orderdate")).alias("order_time"),
             )
-            did = F.col("l_orderkey") * 1000 + F.col("n")
+            did = F.col("l_orderkey") * F.lit(LINE_ID_STEP) + F.col("n")
             lag = F.when(F.col("n") % 2 == 0, did * LINE_LAG_FACTOR % 11).otherwise(did * LINE_LAG_FACTOR % 900)
             return (
                 lines.join(parts, "l_partkey")
@@ -257,6 +257,10 @@ class Fixtures:
         return self._get("order_detail", build)
 
 
+# line ids are order key x step + line number: no collision below 10^9 lines an order
+LINE_ID_STEP = 1_000_000_000
+
+
 def order_create_time(orderkey, orderdate):
     """The order's time of day is derived from its key (the dates carry none)."""
     return add_seconds(orderdate.cast("timestamp"), orderkey * ORDER_SECONDS_FACTOR % 86400)

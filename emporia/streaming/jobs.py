@@ -28,22 +28,6 @@ CACHED_JOIN_BOUND_S = 600
 
 # ---- DAU ------------------------------------------------------------------
 
-def dau_stream(log_lines: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
-    """First startup record per (day, device) (operator 47).
-
-    ``dropDuplicates`` on (day window, mid) with a watermark: the state for a
-    day is dropped once the watermark passes the day's end, so state holds
-    about one day of devices instead of growing forever (the reference's
-    Redis sets never expire).  The day window carries the event-time
-    metadata; the raw event time is dropped before the dedup."""
-    logs = ingest.route_log(ingest.decode_app_log(log_lines))
-    starts = logs.where(F.col("topic") == ingest.TOPIC_STARTUP)
-    docs = ingest.dau_info(ingest.with_dt_hr(starts))
-    timed = docs.withColumn("_et", F.timestamp_millis("ts")).withWatermark("_et", lateness)
-    day = timed.withColumn("_day", F.window("_et", "1 day")).drop("_et")
-    return day.dropDuplicates(["_day", "mid"]).drop("_day")
-
-
 def dau_first_visit_stream(log_lines: DataFrame, lateness: str = DEFAULT_LATENESS) -> DataFrame:
     """First startup record per (day, device) as a streaming aggregate
     (operator 47), for ``outputMode("update")`` into a keyed sink.
@@ -216,17 +200,14 @@ def latest_per_key(df: DataFrame, key_cols: list[str]) -> DataFrame:
 
 # ---- running a stream to completion -----------------------------------------
 
-def run_available(stream_writer, name: str, spark: SparkSession, timeout_s: int = 900, checkpoint: str | None = None):
+def run_available(stream_writer, name: str, spark: SparkSession, checkpoint: str | None = None):
     """Start ``stream_writer`` (a DataStreamWriter) with ``checkpoint`` (a
     fresh folder under the shared root by default), process everything
     available, and stop.  Re-running with the same checkpoint resumes from
     the committed offsets."""
     ckpt = checkpoint or scratch_dir(spark, f"ckpt-{name}")
     q = stream_writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")
     return ckpt

@@ -88,9 +88,8 @@ def test_upsert_latest_keeps_newest_change(spark):
     assert got == {1: "y", 2: "b", 3: "z"}
 
 
-def test_bounded_broadcast_hints_only_below_the_bound(spark):
-    from emporia.operators.joins import bounded_broadcast
+def test_search_finds_words_of_any_script(spark):
+    from emporia.operators.serve import token_match
 
-    small = spark.range(10)
-    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in bounded_broadcast(small, 9)._jdf.queryExecution().logical().toString().lower()
+    rows = spark.createDataFrame([("小米 手机",), ("red phone",), (None,)], "name string")
+    assert [r.name for r in rows.where(token_match(F.col("name"), "手机")).collect()] == ["小米 手机"]

@@ -127,16 +127,3 @@ def test_dau_aggregate_stream_keeps_earliest_record_when_it_arrives_later(spark)
                        .foreachBatch(sink.write), "t-dau", spark)
     got = {r.mid: (r.ch, r.ts, r.dt, r.hr) for r in sink.read().collect()}
     assert got == {"m1": ("early", DAY + 60_000, "2024-01-01", "00"), "m2": ("view", DAY + 5_000, "2024-01-01", "00")}
-
-
-def test_dau_first_arrival_stream_one_row_per_day_and_device(spark):
-    topics = TopicStore(spark)
-    _publish(spark, topics, "L", [_log("m1", DAY + 1_000), _log("m1", DAY + 2_000), _log("m2", DAY + 3_000)])
-    _publish(spark, topics, "L", [_log("m1", DAY + 4_000), _log("m1", DAY + 86_400_000 + 5_000)])
-    out = scratch_dir(spark, "t-dau2")
-    jobs.run_available(jobs.dau_stream(topics.read_stream("L")).writeStream.format("parquet").option("path", out),
-                       "t-dau2", spark)
-    got = {(r.dt, r.mid): r.ts for r in spark.read.parquet(out).collect()}
-    assert set(got) == {("2024-01-01", "m1"), ("2024-01-01", "m2"), ("2024-01-02", "m1")}
-    # first arrival: one of m1's first-batch records, never the later batch's
-    assert got[("2024-01-01", "m1")] in (DAY + 1_000, DAY + 2_000)
