@@ -21,7 +21,8 @@ that grows with the documents leaves the executors.
 
 Cases: null or empty texts match nothing; items of under five words are one
 shingle and match where the words stand; a document shorter than an item is
-one window; very long texts are read in overlapping slices; repeated rows
+one window; very long texts are read whole, their
+windows fingerprinted at most 4,096 at a time; repeated rows
 match alike; ties between windows go to the first; empty tables give an empty
 result; other columns are returned as they were.
 """
