@@ -4,16 +4,16 @@
 connector (``format="kafka"``, key/value/topic columns) or, where no broker
 exists, as a folder of JSON-line files below the shared checkpoint root.  A
 file topic is read as a stream with ``readStream.text``; files are taken in
-the order they were written, ``files_per_trigger`` at a time.
+the order they were written, a published slice at a time.
 
 ``publish_in_slices`` writes a topic as ``n`` consecutive commits cut by
-event time, so a stream over it sees ``n`` ordered micro-batches, like a topic
-filling up over time.
+event-time quantiles, so a stream over it sees ``n`` ordered micro-batches of
+like size, as a topic filling up over time.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ class TopicStore:
     root: str | None = None              # folder of file topics
     format: str = "files"                # "files" or "kafka"
     kafka_servers: str | None = None
+    slice_files: dict[str, int] = field(default_factory=dict)   # files of one published slice, by topic
 
     def __post_init__(self):
         if self.root is None:
@@ -36,8 +37,10 @@ class TopicStore:
         return f"{self.root}/{topic}"
 
     # ---- read ------------------------------------------------------------
-    def read_stream(self, topic: str, files_per_trigger: int = 1, starting_offsets: str = "earliest") -> DataFrame:
-        """A topic as a streaming frame with a ``value`` text column (operator 1)."""
+    def read_stream(self, topic: str, slices_per_trigger: int = 1, starting_offsets: str = "earliest") -> DataFrame:
+        """A topic as a streaming frame with a ``value`` text column (operator
+        1).  A file topic is taken ``slices_per_trigger`` published slices (of
+        one file, where nothing was published in slices) at a time."""
         if self.format == "kafka":
             return (
                 self.spark.readStream.format("kafka")
@@ -49,7 +52,7 @@ class TopicStore:
             )
         return (
             self.spark.readStream.schema("value string")
-            .option("maxFilesPerTrigger", files_per_trigger)
+            .option("maxFilesPerTrigger", slices_per_trigger * self.slice_files.get(topic, 1))
             .text(self.path(topic))
         )
 
@@ -75,31 +78,45 @@ class TopicStore:
             (out.select(*cols).write.format("kafka")
              .option("kafka.bootstrap.servers", self.kafka_servers).save())
             return
-        out = df if files is None else df.coalesce(files)
+        out = df if files is None else df.repartition(files)
         if topic is None:
             out.select("topic", "value").write.mode("append").partitionBy("topic").text(self.root)
         else:
             out.select("value").write.mode("append").text(self.path(topic))
 
     def publish_in_slices(self, df: DataFrame, topic: str, event_time: Column, slices: int,
-                          files_per_slice: int = 1) -> None:
-        """Write ``df.value`` to ``topic`` as ``slices`` consecutive commits,
-        cut into equal event-time ranges.
+                          rows_per_file: int = 50_000) -> None:
+        """Write ``df.value`` to ``topic`` as up to ``slices`` consecutive
+        commits in event-time order, each holding about the same number of
+        rows, and each written in parallel into the same number of files.
 
-        The rows are staged once (one distributed write, partitioned by slice)
-        and each slice is then appended from the staged copy, so the source
-        query runs once however many slices there are."""
+        The rows are staged once, so the source query runs once however many
+        slices there are; cuts and counts come from the staged event times.
+        ``read_stream`` then takes one slice per trigger by default, so the
+        rows of a micro-batch never straddle a commit.  Rows without an event
+        time go to the first slice."""
         stage = scratch_dir(self.spark, f"stage-{topic}")
-        t = event_time.cast("double") if not isinstance(event_time, str) else F.col(event_time).cast("double")
-        # the input plan runs once: staged with its event time, the slice
-        # bounds then come from the staged copy
-        df.select("value", t.alias("_t")).write.parquet(stage)
+        df.select("value", F.coalesce(event_time.cast("double"), F.lit(float("-inf"))).alias("_t")).write.parquet(stage)
         staged = self.spark.read.parquet(stage)
-        bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
-        lo, hi = (bounds["lo"] or 0.0), (bounds["hi"] or 0.0)
-        span = (hi - lo) or 1.0
-        for i in range(slices):
-            a, b = lo + span * i / slices, lo + span * (i + 1) / slices
-            cond = (F.col("_t") >= a) & ((F.col("_t") < b) if i < slices - 1 else F.lit(True))
-            part = staged.where(cond).select("value")
-            self.write_batch(part, topic, files=files_per_slice)
+        cuts = staged.agg(F.percentile_approx("_t", [i / slices for i in range(1, slices)]).alias("c")).first()["c"]
+        cuts = sorted(set(cuts or []))
+        # number of cuts at or below the row's time: one group per slice
+        no = sum(((F.col("_t") > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+        counts = sorted((r["n"], r["count"]) for r in staged.groupBy(no.alias("n")).count().collect())
+        largest = max((c for _, c in counts), default=0)
+        files = -(-largest // rows_per_file) or 1
+        # ties can leave a slice nearly empty: it joins its successor, so each
+        # has rows for every one of its files
+        groups, cur, rows = [], [], 0
+        for n, c in counts:
+            cur, rows = [*cur, n], rows + c
+            if rows * 8 >= largest:
+                groups.append(cur)
+                cur, rows = [], 0
+        if cur:
+            groups = [*groups[:-1], groups[-1] + cur]
+        for g in groups:
+            self.write_batch(staged.where(no.isin(g)).select("value"), topic, files=files)
+        if not groups:
+            self.write_batch(staged.select("value"), topic, files=1)
+        self.slice_files[topic] = files

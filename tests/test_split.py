@@ -114,7 +114,7 @@ def test_property_matches_reference_loop(spark, orders):
     assert run_split(spark, orders) == reference(orders)
 
 
-# ---- streaming split: vectorised per-bucket function, no Spark ---------------
+# ---- streaming split: per-order function, no Spark ---------------
 
 @st.composite
 def stream_orders(draw):
@@ -126,31 +126,30 @@ def stream_orders(draw):
 @settings(max_examples=60, deadline=None)
 @given(stream_orders())
 def test_stream_split_lines_matches_reference_loop_across_batches(data):
-    import pandas as pd
+    from pyspark.sql import Row
 
-    from emporia.streaming.split_state import _STATE_COLS, split_lines
+    from emporia.streaming.split_state import split_lines
 
     orders, cuts = data
     # lines in detail-id order; a True cut starts a new micro-batch after that line
     batches, cur = [], []
     for oid, (t, f, lines) in orders.items():
         for i, o in enumerate(lines):
-            cur.append(dict(order_id=oid, order_detail_id=oid * 1000 + i, o_c=int(o * 100), t_c=int(t * 100),
-                            f_c=int(f * 100), et_ms=0))
+            raw = (f * o / t).quantize(Decimal("0.01"), ROUND_HALF_UP) if t else Decimal(0)
+            cur.append(Row(order_id=oid, order_detail_id=oid * 1000 + i, known=True, o_c=int(o * 100), t_c=int(t * 100),
+                            f_c=int(f * 100), raw_c=int(raw * 100) if t or not o else None))
             if cuts[oid][i]:
                 batches.append(cur)
                 cur = []
     if cur:
         batches.append(cur)
-    state = pd.DataFrame({c: pd.Series(dtype="int64") for c in _STATE_COLS})
+    state = {}
     got = {}
     for b in batches:
-        lines = pd.DataFrame(b)
-        prior = state[state["order_id"].isin(lines["order_id"])]
-        out, touched = split_lines(lines, prior)
-        state = pd.concat([state[~state["order_id"].isin(touched["order_id"])], touched], ignore_index=True)
-        for r in out.itertuples(index=False):
-            got[r.order_detail_id] = None if pd.isna(r.share_c) else Decimal(int(r.share_c)) / 100
+        for oid in {r.order_id for r in b}:
+            out, state[oid] = split_lines([r for r in b if r.order_id == oid], *state.get(oid, (0, 0, 0)))
+            for did, c in out:
+                got[did] = None if c is None else Decimal(c) / 100
     want = reference(orders)
     # the reference raises on a division by zero; compare the orders it can split
     assert {k: v for k, v in got.items() if want.get(k) is not None} == {k: v for k, v in want.items() if v is not None}

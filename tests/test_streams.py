@@ -107,6 +107,83 @@ def test_split_stream_shares_add_up_with_lines_in_two_batches(spark):
     assert sum(got.values()) == Decimal("20.00")
 
 
+def _wide(did, oid, t, price, gross, paid):
+    return json.dumps({"order_detail_id": did, "order_id": oid, "create_time": t, "sku_price": price, "sku_num": 1,
+                       "original_total_amount": gross, "final_total_amount": paid, "dt": t[:10]})
+
+
+def _run_split(spark, topics, out, ckpt=None, **kw):
+    from emporia import schemas
+    from emporia.functions import jsonx
+    s = topics.read_stream("W").select(jsonx.decode(F.col("value"), schemas.ORDER_WIDE).alias("r")).select("r.*")
+    s = s.withColumn("event_time", F.to_timestamp("create_time")).withWatermark("event_time", "1 hour")
+    jobs.run_available(split_state.split_stream(s, **kw).writeStream.format("parquet").option("path", out), "t-split2",
+                       spark, checkpoint=ckpt)
+    return {r.order_detail_id: r.final_detail_amount for r in spark.read.parquet(out).collect()}
+
+
+def test_split_stream_of_a_large_order_is_exact(spark):
+    topics = TopicStore(spark)
+    _publish(spark, topics, "W", [_wide(1, 1, "2024-01-01 10:00:00", "50000000.00", "90000000.00", "80000000.00"),
+                                  _wide(2, 1, "2024-01-01 10:00:00", "40000000.00", "90000000.00", "80000000.00")])
+    assert _run_split(spark, topics, scratch_dir(spark, "t-big")) == {1: Decimal("44444444.44"), 2: Decimal("35555555.56")}
+
+
+def test_split_stream_restarts_with_other_partitions_and_takes_very_late_lines(spark):
+    topics = TopicStore(spark)
+    out, ckpt = scratch_dir(spark, "t-re"), scratch_dir(spark, "t-re-ckpt")
+    orders = range(1, 21)
+    _publish(spark, topics, "W", [_wide(i * 10 + 1, i, "2024-01-01 10:00:00", "10.00", "30.00", "20.00") for i in orders])
+    # another order moves time on by a day
+    _publish(spark, topics, "W", [_wide(9001, 900, "2024-01-02 10:00:00", "5.00", "5.00", "5.00")])
+    _run_split(spark, topics, out, ckpt)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(before) + 3))
+    try:
+        _publish(spark, topics, "W", [_wide(i * 10 + k, i, "2024-01-01 10:00:01", "10.00", "30.00", "20.00")
+                                      for i in orders for k in (2, 3)])
+        got = _run_split(spark, topics, out, ckpt)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for i in orders:
+        assert [got[i * 10 + k] for k in (1, 2, 3)] == [Decimal("6.67"), Decimal("6.67"), Decimal("6.66")]
+
+
+def test_split_lines_of_one_order_many_of_them_zero():
+    from pyspark.sql import Row
+    lines = [Row(order_detail_id=i, known=True, o_c=50 if i < 2 else 0, t_c=100, f_c=99, raw_c=50 if i < 2 else 0)
+             for i in range(100_000)]
+    out, state = split_state.split_lines(reversed(lines), 0, 0, 0)
+    assert [c for _, c in out[:3]] == [50, 49, 0] and state == (100, 99, 100_000)
+
+
+def test_split_stream_with_retention_evicts_and_still_splits(spark):
+    topics = TopicStore(spark)
+    _publish(spark, topics, "W", [_wide(11, 1, "2024-01-01 10:00:00", "10.00", "30.00", "20.00")])
+    _publish(spark, topics, "W", [_wide(12, 1, "2024-01-01 10:30:00", "10.00", "30.00", "20.00"),
+                                  _wide(13, 1, "2024-01-01 10:30:00", "10.00", "30.00", "20.00")])
+    _publish(spark, topics, "W", [_wide(9001, 900, "2024-01-02 10:00:00", "5.00", "5.00", "5.00")])
+    got = _run_split(spark, topics, scratch_dir(spark, "t-ret"), retention_ms=3_600_000)
+    assert got == {11: Decimal("6.67"), 12: Decimal("6.67"), 13: Decimal("6.66"), 9001: Decimal("5.00")}
+
+
+def test_publish_in_slices_keeps_every_row_in_equal_files_per_slice(spark):
+    topics = TopicStore(spark)
+    # one time holds two thirds of the rows; some rows have no time
+    df = spark.range(3000).select(F.col("id").cast("string").alias("value"),
+                                  F.when(F.col("id") < 2000, 7).when(F.col("id") < 2990, F.col("id")).alias("t"))
+    topics.publish_in_slices(df, "P", F.col("t"), 6, rows_per_file=500)
+    assert topics.slice_files["P"] == 5
+    out = scratch_dir(spark, "t-pub")
+    sizes = []
+    jobs.run_available(topics.read_stream("P").writeStream.foreachBatch(
+        lambda b, i: (sizes.append(b.count()), b.write.mode("append").parquet(out))), "t-pub", spark)
+    assert sizes[0] >= 2000 and len(sizes) > 1
+    assert sorted(int(r.value) for r in spark.read.parquet(out).collect()) == list(range(3000))
+    topics.publish_in_slices(df.limit(0), "E", F.col("t"), 6)
+    assert topics.read_batch("E").count() == 0
+
+
 def _log(mid, ts, ch="view"):
     return json.dumps({"common": {"mid": mid, "uid": "1", "ar": "A", "ch": ch, "vc": "v1"},
                        "start": {"entry": "icon"}, "ts": ts})
