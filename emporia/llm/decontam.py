@@ -1,14 +1,17 @@
 """Benchmark decontamination: SimHash over item-sized windows, then exact similarity.
 
-Each benchmark item has a 64-bit SimHash of its weighted 5-word shingles.
+Each benchmark item has a 64-bit SimHash of its weighted 5-word shingles, and
+one of its plain shingles where that differs.
 Documents are read in windows of the items' own lengths; a window's
 fingerprint is looked up in a multi-index: both fingerprints are cut into
 ``BLOCKS`` blocks, and two that differ in at most ``RADIUS`` bits differ in at
 most ``RADIUS // BLOCKS`` bits of one block, so listing every item under all
 block values that near finds every fingerprint within the radius.  Candidates
-are verified by weighted Jaccard similarity of the shingles' multisets.  A
-shingle weighs 1 / (number of items that hold it), so that wording shared by
-many items counts less.
+are verified by Jaccard similarity of the shingles' multisets, weighted or
+plain, whichever is larger.  A shingle weighs 1 / (number of items that hold
+it), so that wording shared by many items counts less; a foreign shingle
+weighs 1, so an edit costs the more the more an item's wording is shared, and
+the plain similarity keeps near copies of such items.
 
 A window without any shingle of the benchmark has similarity 0 to every item,
 so fingerprints are made only for windows around such shingles.  Windows of
@@ -46,6 +49,7 @@ BLOCKS = 4
 RADIUS = 19
 ITEMS_PER_BLOCK = 2000
 BLOCK_CHARS = 16 << 20
+WEIGHT_ONE = 1 << 32  # the weight 1 in votes
 _BLOCK_BITS = BITS // BLOCKS
 
 MATCH = "item_id long, similarity double, start long, n_words long"
@@ -60,10 +64,10 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
-def _spread(shingle: bytes) -> np.ndarray:
-    """A shingle's 64 hash bits as -1 and 1."""
-    raw = np.frombuffer(xxhash.xxh3_64_digest(shingle), np.uint8)
-    return np.unpackbits(raw).astype(np.float64) * 2 - 1
+def _spread(units: list[bytes]) -> np.ndarray:
+    """The 64 hash bits of each shingle as -1 and 1."""
+    raw = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, units)), np.uint8)
+    return np.unpackbits(raw.reshape(-1, BITS // 8), axis=1).astype(np.int64) * 2 - 1
 
 
 def _packed(votes: np.ndarray) -> np.ndarray:
@@ -96,8 +100,7 @@ class ItemIndex:
                 self.holders[s].append(i)
         self.vocabulary = {w for ws in words for w in ws}
         self.short_sizes = sorted({k for k in self.sizes if k < SHINGLE_WORDS})
-        votes = [sum((self.weight(s) * n * _spread(s) for s, n in c.items()), np.zeros(BITS)) for c in self.counts]
-        self.prints = _packed(np.array(votes)) if votes else np.empty((0, BLOCKS), np.uint16)
+        self.prints, self.owner = self._prints()
         masks = _near_masks()
         self.order, self.starts = [], []
         for b in range(BLOCKS):
@@ -106,20 +109,40 @@ class ItemIndex:
             self.order.append((by_value // len(masks)).astype(np.int32))
             self.starts.append(np.searchsorted(near[by_value], np.arange((1 << _BLOCK_BITS) + 1)))
 
-    def weight(self, shingle: bytes) -> float:
-        return 1.0 / max(1, len(self.holders.get(shingle, ())))
+    def weights(self, units: list[bytes]) -> np.ndarray:
+        return 1.0 / np.array([max(1, len(self.holders.get(s, ()))) for s in units], np.int64)
+
+    def _prints(self) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprints and their items: the weighted one of each item, then the plain ones that differ."""
+        if not self.counts:
+            return np.empty((0, BLOCKS), np.uint16), np.empty(0, np.int64)
+        pairs = [self._both_votes(list(c), np.array(list(c.values()), np.int64)) for c in self.counts]
+        weighted, plain = (_packed(np.array([v.sum(axis=0) for v in votes])) for votes in zip(*pairs))
+        other = np.flatnonzero((weighted != plain).any(axis=1))
+        return np.vstack([weighted, plain[other]]), np.concatenate([np.arange(len(weighted)), other])
+
+    def _both_votes(self, units: list[bytes], times: np.ndarray | int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Weighted and plain votes of each shingle, as integers, so that sums don't depend on their order."""
+        plain = _spread(units) * np.reshape(times, (-1, 1))
+        return plain * np.rint(self.weights(units) * WEIGHT_ONE).astype(np.int64)[:, None], plain
 
     def candidates(self, fingerprint: np.ndarray) -> np.ndarray:
-        """Items whose fingerprints differ in at most RADIUS bits."""
+        """Fingerprints that differ in at most RADIUS bits, as rows of ``prints`` and ``owner``."""
         lists = [self.order[b][self.starts[b][v] : self.starts[b][v + 1]] for b, v in enumerate(fingerprint.tolist())]
         found = np.unique(np.concatenate(lists))
         return found[_ONES[self.prints[found] ^ fingerprint].sum(axis=1, dtype=np.int64) <= RADIUS]
 
     def similarity(self, item: int, window: Counter) -> float:
+        """The larger of weighted and plain Jaccard similarity."""
         own = self.counts[item]
-        both = sum(self.weight(s) * min(n, window[s]) for s, n in own.items())
-        all_ = sum(self.weight(s) * max(n, own[s]) for s, n in window.items()) + sum(self.weight(s) * n for s, n in own.items() if s not in window)
-        return both / all_ if all_ else 0.0
+        if not any(s in window for s in own):
+            return 0.0
+        units = [*own, *(s for s in window if s not in own)]
+        both = [min(own[s], window[s]) for s in units]
+        all_ = [max(own[s], window[s]) for s in units]
+        weights = self.weights(units).tolist()
+        weighted = sum(w * n for w, n in zip(weights, both)) / sum(w * n for w, n in zip(weights, all_))
+        return max(weighted, sum(both) / sum(all_))
 
     def hits(self, words: list[bytes]) -> dict[int, list[int]]:
         """Positions of benchmark shingles, by shingle size."""
@@ -157,12 +180,15 @@ class ItemIndex:
                 continue
             first = stretch[0]
             units = shingles(words[first : stretch[-1] + wide], size)
-            votes = np.array([self.weight(s) * _spread(s) for s in units])
-            sums = np.vstack([np.zeros(BITS), np.cumsum(votes, axis=0)])
             per = wide - size + 1
-            prints = _packed(sums[per:] - sums[:-per])
+            sums = (np.vstack([np.zeros((1, BITS), np.int64), np.cumsum(votes, axis=0)]) for votes in self._both_votes(units))
+            weighted, plain = (_packed(x[per:] - x[:-per]) for x in sums)
+            differ = (weighted != plain).any(axis=1)
             for o in range(len(stretch)):
-                found = [int(i) for i in self.candidates(prints[o]) if self.lengths[i] == length]
+                near = self.candidates(weighted[o])
+                if differ[o]:
+                    near = np.concatenate([near, self.candidates(plain[o])])
+                found = [i for i in np.unique(self.owner[near]).tolist() if self.lengths[i] == length]
                 if not found:
                     continue
                 window = Counter(units[o : o + per])

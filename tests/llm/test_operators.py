@@ -174,6 +174,20 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark, none, sf_dir):
     assert [m[0] for m in decontam.ItemIndex([(9, "two words")]).matches("here two words stand")] == [9]
 
 
+@pytest.mark.parametrize("holders", [1, 2, 3, 10])
+def test_near_copies_of_shared_items_are_found(spark, holders):
+    w = [f"w{holders}x{i}" for i in range(39)]
+    edge, half = [*w[:36], "changed", *w[37:]], [*w[:20], *[f"other{i}" for i in range(19)]]
+    repeated = spark.createDataFrame([(i, " ".join(w)) for i in range(holders)], "item_id long, text string")
+    docs = make(spark, [(1, " ".join(["x", *edge, "y"]), "en", "a"), (2, " ".join(half), "en", "a")])
+    got = decontam.leaks(docs, repeated).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, i) for i in range(holders)]
+    assert all(r.similarity == pytest.approx(32 / 38) for r in got)
+    template = decontam.ItemIndex([(i, " ".join([*w, *[f"own{i}x{k}" for k in range(4)]])) for i in range(holders)])
+    near = " ".join([*w[:2], "changed", *w[3:], *[f"own0x{k}" for k in range(4)]])
+    assert 0 in [m[0] for m in template.matches(near)]
+
+
 def test_multi_index_finds_all_within_the_radius():
     import numpy as np
 
