@@ -19,8 +19,11 @@ so fingerprints are made only for windows around such shingles.  Windows of
 radius of 19 loses about 4 in 1,000 of those, and fewer of nearer ones.
 
 Items are broadcast in blocks of ``ITEMS_PER_BLOCK`` (and at most
-``BLOCK_CHARS`` characters), each block run against all documents; nothing
-that grows with the documents leaves the executors.
+``BLOCK_CHARS`` characters), each block run against all documents.  Holders are
+counted over the whole benchmark first, and the counts of all shingles held
+twice or more (16 bytes each) go with every block, so that the blocks' limits
+don't change the result.  Nothing that grows with the documents leaves the
+executors.
 
 Cases: null or empty texts match nothing; items of under five words are one
 shingle and match where the words stand; a document shorter than an item is
@@ -33,12 +36,13 @@ result; other columns are returned as they were.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,10 +68,13 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
-def _spread(units: list[bytes]) -> np.ndarray:
-    """The 64 hash bits of each shingle as -1 and 1."""
-    raw = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, units)), np.uint8)
-    return np.unpackbits(raw.reshape(-1, BITS // 8), axis=1).astype(np.int64) * 2 - 1
+def _hashes(units: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, units)), ">i8")
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """The 64 bits of each hash as -1 and 1."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, BITS // 8), axis=1).astype(np.int64) * 2 - 1
 
 
 def _packed(votes: np.ndarray) -> np.ndarray:
@@ -85,10 +92,19 @@ def _near_masks() -> np.ndarray:
 _ONES = np.unpackbits(np.arange(1 << 16, dtype=">u2").view(np.uint8).reshape(-1, 2), axis=1).sum(axis=1).astype(np.uint8)
 
 
+def item_shingles(text: str | None) -> list[bytes]:
+    words = words_of(text)
+    return shingles(words, min(SHINGLE_WORDS, len(words)))
+
+
 class ItemIndex:
-    """Fingerprints, shingles and the multi-index of one block of benchmark items."""
+    """Fingerprints, shingles and the multi-index of one block of benchmark items.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``shared``: hashes, in order, of the shingles that several items of the
+    benchmark hold, and how many hold each; without it the block is the benchmark.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], shared: tuple[np.ndarray, np.ndarray] | None = None):
         self.ids = [i for i, _ in items]
         words = [words_of(t) for _, t in items]
         self.lengths = [len(w) for w in words]
@@ -98,6 +114,10 @@ class ItemIndex:
         for i, c in enumerate(self.counts):
             for s in c:
                 self.holders[s].append(i)
+        if shared is None:
+            several = sorted((h, len(at)) for h, at in zip(_hashes(self.holders).tolist(), self.holders.values()) if len(at) > 1)
+            shared = tuple(np.array(several, np.int64).reshape(-1, 2).T)
+        self.shared, self.n_holders = shared
         self.vocabulary = {w for ws in words for w in ws}
         self.short_sizes = sorted({k for k in self.sizes if k < SHINGLE_WORDS})
         self.prints, self.owner = self._prints()
@@ -109,8 +129,13 @@ class ItemIndex:
             self.order.append((by_value // len(masks)).astype(np.int32))
             self.starts.append(np.searchsorted(near[by_value], np.arange((1 << _BLOCK_BITS) + 1)))
 
-    def weights(self, units: list[bytes]) -> np.ndarray:
-        return 1.0 / np.array([max(1, len(self.holders.get(s, ()))) for s in units], np.int64)
+    def weights(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(hashes))
+        if len(self.shared):
+            at = np.minimum(np.searchsorted(self.shared, hashes), len(self.shared) - 1)
+            held = self.shared[at] == hashes
+            out[held] /= self.n_holders[at[held]]
+        return out
 
     def _prints(self) -> tuple[np.ndarray, np.ndarray]:
         """Fingerprints and their items: the weighted one of each item, then the plain ones that differ."""
@@ -123,8 +148,9 @@ class ItemIndex:
 
     def _both_votes(self, units: list[bytes], times: np.ndarray | int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Weighted and plain votes of each shingle, as integers, so that sums don't depend on their order."""
-        plain = _spread(units) * np.reshape(times, (-1, 1))
-        return plain * np.rint(self.weights(units) * WEIGHT_ONE).astype(np.int64)[:, None], plain
+        hashes = _hashes(units)
+        plain = _spread(hashes) * np.reshape(times, (-1, 1))
+        return plain * np.rint(self.weights(hashes) * WEIGHT_ONE).astype(np.int64)[:, None], plain
 
     def candidates(self, fingerprint: np.ndarray) -> np.ndarray:
         """Fingerprints that differ in at most RADIUS bits, as rows of ``prints`` and ``owner``."""
@@ -140,7 +166,7 @@ class ItemIndex:
         units = [*own, *(s for s in window if s not in own)]
         both = [min(own[s], window[s]) for s in units]
         all_ = [max(own[s], window[s]) for s in units]
-        weights = self.weights(units).tolist()
+        weights = self.weights(_hashes(units)).tolist()
         weighted = sum(w * n for w, n in zip(weights, both)) / sum(w * n for w, n in zip(weights, all_))
         return max(weighted, sum(both) / sum(all_))
 
@@ -199,11 +225,30 @@ class ItemIndex:
             stretch = []
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    rows = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.distinct()
+
+
+def shared_shingles(benchmark: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, in order, of the shingles that several items hold, and how many hold each."""
+
+    def hashed(batches):
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(_hashes(set(item_shingles(text))).astype(np.int64))], names=["hash"])
+
+    rows = _items(benchmark).select("text").mapInArrow(hashed, "hash long")
+    found = rows.groupBy("hash").count().where(F.col("count") > 1).toArrow()
+    hashes, counts = (found.column(c).to_numpy() for c in ("hash", "count"))
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in blocks of bounded size, read a partition at a time."""
     block, chars = [], 0
-    rows = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    for r in rows.distinct().toLocalIterator():
+    for r in _items(benchmark).toLocalIterator():
         if block and (len(block) >= ITEMS_PER_BLOCK or chars + len(r.text) > BLOCK_CHARS):
             yield block
             block, chars = [], 0
@@ -213,13 +258,13 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def _against(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+def _against(docs: DataFrame, items: list[tuple[int, str]], holders: Broadcast) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
 
     def search(batches):
-        index = ItemIndex(shared.value)
+        index = ItemIndex(shared.value, holders.value)
         for batch in batches:
             rows, found = [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
@@ -234,7 +279,8 @@ def _against(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start, n_words: a row for each item found in a document, at its best window."""
-    parts = [_against(docs, block) for block in item_blocks(benchmark)]
+    holders = docs.sparkSession.sparkContext.broadcast(shared_shingles(benchmark))
+    parts = [_against(docs, block, holders) for block in item_blocks(benchmark)]
     if not parts:
         id_type = docs.schema["doc_id"].dataType.simpleString()
         return docs.sparkSession.createDataFrame([], f"doc_id {id_type}, {MATCH}")

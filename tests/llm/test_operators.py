@@ -188,6 +188,22 @@ def test_near_copies_of_shared_items_are_found(spark, holders):
     assert 0 in [m[0] for m in template.matches(near)]
 
 
+def test_blocks_of_items_do_not_change_the_leaks(spark, sf_dir, monkeypatch):
+    bench = [r.text for r in table(spark, sf_dir, "benchmark").orderBy("item_id").limit(6).collect()]
+    stem = " ".join(f"stem{i}" for i in range(30))
+    bench += [f"{stem} " + " ".join(f"own{k}x{i}" for i in range(12)) for k in range(7)] + ["two words"] * 4
+    items = spark.createDataFrame(list(enumerate(bench)), "item_id long, text string")
+    texts = [t.replace(f"stem{i} ", "changed ") for t in bench for i in (3, 15)] + [" ".join(t.split()[8:]) for t in bench]
+    texts += [" ".join([bench[6 + k], *bench[7 + k].split()[i:]]) for k in range(6) for i in (0, 20, 28, 34)]
+    docs = make(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    rows = lambda: sorted(map(tuple, decontam.leaks(docs, items).collect()))
+    whole = rows()
+    assert len(whole) > 50
+    for size in (3, 1):
+        monkeypatch.setattr(decontam, "ITEMS_PER_BLOCK", size)
+        assert rows() == whole
+
+
 def test_multi_index_finds_all_within_the_radius():
     import numpy as np
 
