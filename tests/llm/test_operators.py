@@ -204,6 +204,21 @@ def test_blocks_of_items_do_not_change_the_leaks(spark, sf_dir, monkeypatch):
         assert rows() == whole
 
 
+def test_one_word_edits_far_apart_in_bits_are_found():
+    import random
+
+    rng, far = random.Random(5), []
+    seen = lambda w: decontam._packed(decontam._spread(decontam._hashes(decontam.shingles(w, 5))).sum(axis=0))
+    for _ in range(3000):
+        w = [str(rng.randrange(10**9)) for _ in range(39)]
+        near = [*w[:20], "changed", *w[21:]]
+        if 19 < decontam._ONES[seen([x.encode() for x in w]) ^ seen([x.encode() for x in near])].sum() <= 23:
+            far.append((" ".join(w), " ".join(near)))
+    assert far
+    index = decontam.ItemIndex([(i, text) for i, (text, _) in enumerate(far)])
+    assert [[m[0] for m in index.matches(near)] for _, near in far] == [[i] for i in range(len(far))]
+
+
 def test_multi_index_finds_all_within_the_radius():
     import numpy as np
 
