@@ -30,8 +30,10 @@ Cases: null or empty texts match nothing; items of under five words are one
 shingle and match where the words stand; a document shorter than an item is
 one window; very long texts are read whole, their
 windows fingerprinted at most 4,096 at a time; repeated rows
-match alike; ties between windows go to the first; empty tables give an empty
-result; other columns are returned as they were.
+match alike; rows under one doc_id, or without one, are told apart by their
+texts; benchmark rows without an item_id are items, found under a null item_id;
+ties between windows go to the first; empty tables give an empty result; other
+columns are returned as they were.
 """
 
 from __future__ import annotations
@@ -228,7 +230,7 @@ class ItemIndex:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    rows = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = benchmark.select("item_id", "text").where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return rows.distinct()
 
 
@@ -274,22 +276,29 @@ def _against(docs: DataFrame, items: list[tuple[int, str]], holders: Broadcast)
                     rows.append(k)
                     found.append(m)
             columns = [pa.array([m[j] for m in found], kind) for j, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), *columns], names=["doc_id", "item_id", "similarity", "start", "n_words"])
+            own = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "_tie")]
+            yield pa.RecordBatch.from_arrays([*own, *columns], names=["doc_id", "_tie", "item_id", "similarity", "start", "n_words"])
 
-    return docs.select("doc_id", "text").mapInArrow(search, f"doc_id {id_type}, {MATCH}")
+    return docs.select("doc_id", F.xxhash64("text").alias("_tie"), "text").mapInArrow(search, f"doc_id {id_type}, _tie long, {MATCH}")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity, start, n_words: a row for each item found in a document, at its best window."""
+def _tied_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``leaks`` with _tie, the hash of the document's text."""
     holders = docs.sparkSession.sparkContext.broadcast(shared_shingles(benchmark))
     parts = [_against(docs, block, holders) for block in item_blocks(benchmark)]
     if not parts:
         id_type = docs.schema["doc_id"].dataType.simpleString()
-        return docs.sparkSession.createDataFrame([], f"doc_id {id_type}, {MATCH}")
+        return docs.sparkSession.createDataFrame([], f"doc_id {id_type}, _tie long, {MATCH}")
     return reduce(DataFrame.unionAll, parts)
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, similarity, start, n_words: a row for each item found in a document, at its best window."""
+    return _tied_leaks(docs, benchmark).drop("_tie")
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found, with the columns they came with."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
-    return packed(docs, _id="doc_id").join(found, F.col("_id") == F.col("_leak"), "left_anti").select("_row.*")
+    found = _tied_leaks(docs, benchmark).select(F.col("doc_id").alias("_l_id"), F.col("_tie").alias("_l_tie")).distinct()
+    rows = packed(docs, _id="doc_id").withColumn("_tie", F.xxhash64("_row.text"))
+    return rows.join(found, F.col("_id").eqNullSafe(F.col("_l_id")) & (F.col("_tie") == F.col("_l_tie")), "left_anti").select("_row.*")

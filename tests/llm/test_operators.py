@@ -204,6 +204,17 @@ def test_blocks_of_items_do_not_change_the_leaks(spark, sf_dir, monkeypatch):
         assert rows() == whole
 
 
+def test_leaks_without_ids_and_under_one_id(spark):
+    item, unnamed = (" ".join(f"{w}{i}" for i in range(30)) for w in ("named", "unnamed"))
+    bench = spark.createDataFrame([(1, item), (None, unnamed)], "item_id long, text string")
+    rows = [(None, item, "en", "a"), (None, PROSE, "en", "a"), (7, item, "en", "a"), (7, PROSE, "en", "a"), (7, None, "en", "a"), (8, "x " + unnamed, "en", "a")]
+    docs = make(spark, rows)
+    got = sorted(((r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()), key=str)
+    assert got == [(7, 1), (8, None), (None, 1)]
+    kept = decontam.without_leaks(docs, bench)
+    assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(7, PROSE), (7, None), (None, PROSE)]
+
+
 def test_one_word_edits_far_apart_in_bits_are_found():
     import random
 
