@@ -7,8 +7,9 @@ language's reference holds the medians of the same shares over all documents
 of that language, so that junk below half of them doesn't bend it; its common
 words are those found in most documents.  A document diverges when the
 Jensen-Shannon distance (base 2, 0 to 1) of a histogram is above its limit
-for every reference; one with fewer words than a histogram's minimum length
-isn't judged by it, as a short text's histogram is mostly chance.
+for every reference.  Below ``MIN_WORDS_CHARS`` words the characters' limit
+widens with the square root of the length, as a short text's histogram is more
+chance; below ``MIN_WORDS_WORDS`` a document isn't judged by common words.
 
 Everything is DataFrame expressions; a document's histograms are made in its
 own row and judged without its text.  What the driver holds is one reference a
@@ -36,7 +37,7 @@ WINDOW = 5
 COMMON_WORDS = 12         # bins of a language's word histogram, besides all other words
 TRACKED_WORDS = 10_000    # counters of the heavy-hitter sketch that finds them
 MEDIAN_ACCURACY = 10_000
-MIN_WORDS_CHARS = 20      # shorter documents aren't judged by characters
+MIN_WORDS_CHARS = 20      # shorter documents are judged by characters with a wider limit
 MIN_WORDS_WORDS = 200     # shorter documents aren't judged by common words
 MAX_CHAR_DISTANCE = 0.16
 MAX_WORD_DISTANCE = 0.26
@@ -164,16 +165,17 @@ def diverges(refs: list[dict]) -> Column:
         return F.lit(False)
     table = F.from_json(F.lit(json.dumps(refs)), "array<struct<lang: string, chars: array<double>, shares: array<double>>>")
     n = F.col("_n_words")
+    widest = MAX_CHAR_DISTANCE * F.sqrt(F.greatest(F.lit(1.0), MIN_WORDS_CHARS / F.greatest(n, F.lit(LEAST_WORDS))))
 
     def near(tried: Column) -> Column:
         def like(ref: Column) -> Column:
-            chars = js_distance(F.col("_chars"), ref.chars) <= MAX_CHAR_DISTANCE
+            chars = js_distance(F.col("_chars"), ref.chars) <= widest
             words = (n < MIN_WORDS_WORDS) | (js_distance(tried.shares, ref.shares) <= MAX_WORD_DISTANCE)
             return chars & words
 
         return F.exists(table, lambda ref: F.when(ref.lang == tried.lang, like(ref)).otherwise(False))
 
-    return F.when(n < MIN_WORDS_CHARS, False).otherwise(~F.exists("_tries", near))
+    return F.when(n < LEAST_WORDS, False).otherwise(~F.exists("_tries", near))
 
 
 def _judged(rows: DataFrame, refs: list[dict]) -> DataFrame:

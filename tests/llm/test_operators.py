@@ -174,6 +174,16 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark, none, sf_dir):
     assert [m[0] for m in decontam.ItemIndex([(9, "two words")]).matches("here two words stand")] == [9]
 
 
+def test_short_junk_is_judged_and_short_clean_text_kept(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    junk = "Thingor%%% that*** of.&&& Onerea$$$ erored$$$ thoring%%% tionnd.%%%\nThe and attion to than the erea%%% on***"
+    mail = "With lecne.06@mail4.example.com +1 (807) 555-5623 stupid ateant anes and, clown with the other of them"
+    short = spark.createDataFrame([(10**6, junk, "en", "a"), (10**6 + 1, mail, "en", "a"), (10**6 + 2, "the and of that with " * 2 + "more", "en", "a")], "doc_id long, text string, lang string, source string")
+    got = {r._id: (r._n_words, r._kept) for r in quality.assess(docs.union(short)).where(F.col("_id") >= 10**6).collect()}
+    assert all(10 <= n < quality.MIN_WORDS_CHARS for n, _ in got.values())
+    assert not got[10**6][1] and got[10**6 + 1][1]
+
+
 @pytest.mark.parametrize("holders", [1, 2, 3, 10])
 def test_near_copies_of_shared_items_are_found(spark, holders):
     w = [f"w{holders}x{i}" for i in range(39)]
