@@ -45,7 +45,7 @@ from nation where n_nationkey <> 24
 
 _cte("user_info", """
 select c_custkey id, cast(c_custkey % 3 + 1 as varchar) user_level,
-       date '1950-01-01' + cast(c_custkey * 9973 % 25000 as integer) birthday,
+       date '1950-01-01' + cast(c_custkey % 25000 * 9973 % 25000 as integer) birthday,
        case when c_custkey % 10 = 0 then null when c_custkey % 2 = 0 then 'M' else 'F' end gender
 from customer where c_custkey % 97 <> 0
 """)
@@ -85,30 +85,38 @@ left join trademark t on t.tm_id = s.tm_id
 left join spu p on p.id = s.spu_id
 """, ("sku", "category3", "trademark", "spu"))
 
+_cte("numbered_lines", """
+select *, cast(l_extendedprice as decimal(12,2)) * (l_partkey % 3 + 1) o,
+       row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber,
+             l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) n
+from lineitem
+""")
+
 _cte("order_info", """
 select o_orderkey id, c_nationkey province_id, o_orderstatus order_status, o_custkey user_id,
        cast(o_totalprice as decimal(12,2)) final_total_amount,
-       cast(coalesce(g.t, 0) - cast(o_totalprice as decimal(12,2)) as decimal(12,2)) benefit_reduce_amount,
-       cast(coalesce(g.t, 0) as decimal(12,2)) original_total_amount,
-       cast(0 as decimal(12,2)) feight_fee,
-       o_orderdate + to_seconds(cast(o_orderkey * 7919 % 86400 as bigint)) create_time
-from orders join customer on c_custkey = o_custkey
-left join (select l_orderkey, cast(sum(cast(l_extendedprice as decimal(12,2))) as decimal(12,2)) t
-           from lineitem group by l_orderkey) g on g.l_orderkey = o_orderkey
-""")
+       cast(gross + o_orderkey % 3 * 5 - cast(o_totalprice as decimal(12,2)) as decimal(12,2)) benefit_reduce_amount,
+       cast(gross as decimal(12,2)) original_total_amount,
+       cast(o_orderkey % 3 * 5 as decimal(12,2)) feight_fee,
+       o_orderdate + to_seconds(cast(o_orderkey % 86400 * 7919 % 86400 as bigint)) create_time
+from (select *, coalesce(t, 0) + case when o_orderkey % 11 = 5 then 100 when o_orderkey % 11 = 6 then -coalesce(last, 0) else 0 end gross
+      from orders left join (
+        select l_orderkey, cast(sum(o) as decimal(12,2)) t, max(case when n = c then o end) last
+        from (select *, count(*) over (partition by l_orderkey) c from numbered_lines) x group by l_orderkey) g
+      on l_orderkey = o_orderkey) y
+join customer on c_custkey = o_custkey
+""", ("numbered_lines",))
 
 _cte("order_detail", """
-select l_orderkey * 1000000000 + n id, l_orderkey order_id, l_partkey sku_id,
-       cast(l_extendedprice as decimal(12,2)) order_price, 1 sku_num, p_name sku_name,
-       o_orderdate + to_seconds(cast(o_orderkey * 7919 % 86400 as bigint))
-         + to_seconds(cast(case when n % 2 = 0 then (l_orderkey * 1000000000 + n) * 31 % 11
-                                else (l_orderkey * 1000000000 + n) * 31 % 900 end as bigint)) create_time
-from (select *, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber,
-             l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) n
-      from lineitem) l
+select l_orderkey * (select max(c) + 1 from (select count(*) c from lineitem group by l_orderkey) m) + n id, l_orderkey order_id, l_partkey sku_id,
+       cast(l_extendedprice as decimal(12,2)) order_price, cast(l_partkey % 3 + 1 as integer) sku_num, p_name sku_name,
+       o_orderdate + to_seconds(cast(o_orderkey % 86400 * 7919 % 86400 as bigint))
+         + to_seconds(cast(case when n % 2 = 0 then (l_orderkey % 11 * 310 + n % 11 * 31) % 11
+                                else (l_orderkey % 900 * 310 + n % 900 * 31) % 900 end as bigint)) create_time
+from numbered_lines l
 join part on p_partkey = l_partkey
 join orders on o_orderkey = l_orderkey
-""")
+""", ("numbered_lines",))
 
 _cte("dwd_order", """
 select o.id, o.province_id, o.order_status, o.user_id, o.final_total_amount, o.benefit_reduce_amount,

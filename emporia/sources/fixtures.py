@@ -31,6 +31,13 @@ TRADEMARK_REMOVED = "Brand#7"    # gives skus without a trademark name
 SPU_MODULUS = 200
 ORDER_SECONDS_FACTOR = 7919
 LINE_LAG_FACTOR = 31
+LINE_KEY_FACTOR = 310
+OPEN_ORDER_DIVISOR = 11
+# the order in which an order's lines are numbered
+LINE_ORDER = (
+    "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
 
 
 @dataclass
@@ -119,7 +126,7 @@ class Fixtures:
                 .select(
                     k.alias("id"),
                     (k % 3 + 1).cast("string").alias("user_level"),
-                    F.date_add(F.lit("1950-01-01").cast("date"), (k * 9973 % 25000).cast("int")).alias("birthday"),
+                    F.date_add(F.lit("1950-01-01").cast("date"), (k % 25000 * 9973 % 25000).cast("int")).alias("birthday"),
                     F.when(k % 10 == 0, F.lit(None).cast("string"))
                     .when(k % 2 == 0, F.lit("M"))
                     .otherwise(F.lit("F"))
@@ -194,13 +201,21 @@ class Fixtures:
             o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
             c = self.t("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
             # gross per order: partial aggregate before the shuffle on the key
+            line = (F.col("l_extendedprice").cast(MONEY) * line_quantity()).cast(MONEY)
             g = (
                 self.t("lineitem")
                 .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-                .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("gross"))
+                .agg(F.sum(line).cast(MONEY).alias("lines"), F.max_by(line, F.struct(*LINE_ORDER)).alias("last"))
             )
             paid = F.col("o_totalprice").cast(MONEY)
-            gross = F.coalesce(F.col("gross"), F.lit(0).cast(MONEY))
+            key, lines = F.col("o_orderkey"), F.coalesce(F.col("lines"), F.lit(0).cast(MONEY))
+            # orders whose lines don't add up to their gross total: never, or before the last line
+            gross = (
+                F.when(key % OPEN_ORDER_DIVISOR == 5, lines + F.lit(100).cast(MONEY))
+                .when((key % OPEN_ORDER_DIVISOR == 6) & F.col("last").isNotNull(), lines - F.col("last"))
+                .otherwise(lines)
+            ).cast(MONEY)
+            freight = (key % 3 * 5).cast(MONEY)
             return (
                 o.join(c, "o_custkey")
                 .join(g, "o_orderkey", "left")
@@ -210,9 +225,9 @@ class Fixtures:
                     F.col("o_orderstatus").alias("order_status"),
                     F.col("o_custkey").alias("user_id"),
                     paid.alias("final_total_amount"),
-                    (gross - paid).cast(MONEY).alias("benefit_reduce_amount"),
-                    gross.cast(MONEY).alias("original_total_amount"),
-                    F.lit(0).cast(MONEY).alias("feight_fee"),
+                    (gross + freight - paid).cast(MONEY).alias("benefit_reduce_amount"),
+                    gross.alias("original_total_amount"),
+                    freight.alias("feight_fee"),
                     order_create_time(F.col("o_orderkey"), F.col("o_orderdate")).alias("create_time"),
                 )
             )
@@ -224,10 +239,7 @@ class Fixtures:
         def build():
             li = self.t("lineitem")
             # lines carry no unique number inside an order; number them
-            w = Window.partitionBy("l_orderkey").orderBy(
-                "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-            )
+            w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
             lines = li.select(
                 "l_orderkey", "l_partkey", "l_extendedprice", F.row_number().over(w).alias("n")
             )
@@ -238,8 +250,8 @@ class Fixtures:
                 F.col("o_orderkey").alias("l_orderkey"),
                 order_create_time(F.col("o_orderkey"), F.col("o_orderdate")).alias("order_time"),
             )
-            did = F.col("l_orderkey") * F.lit(LINE_ID_STEP) + F.col("n")
-            lag = F.when(F.col("n") % 2 == 0, did * LINE_LAG_FACTOR % 11).otherwise(did * LINE_LAG_FACTOR % 900)
+            did = F.col("l_orderkey") * F.lit(line_id_step(li)) + F.col("n")
+            lag = F.when(F.col("n") % 2 == 0, line_lag(11)).otherwise(line_lag(900))
             return (
                 lines.join(parts, "l_partkey")
                 .join(orders, "l_orderkey")
@@ -248,7 +260,7 @@ class Fixtures:
                     F.col("l_orderkey").alias("order_id"),
                     F.col("l_partkey").alias("sku_id"),
                     F.col("l_extendedprice").cast(MONEY).alias("order_price"),
-                    F.lit(1).alias("sku_num"),
+                    line_quantity().cast("int").alias("sku_num"),
                     F.col("sku_name"),
                     add_seconds(F.col("order_time"), lag).alias("create_time"),
                 )
@@ -257,13 +269,27 @@ class Fixtures:
         return self._get("order_detail", build)
 
 
-# line ids are order key x step + line number: no collision below 10^9 lines an order
-LINE_ID_STEP = 1_000_000_000
+def line_id_step(lineitem: DataFrame) -> int:
+    """Distance between the line ids of neighbouring order keys: one more than
+    the lines of the largest order, so ids never collide and leave 64 bits
+    only where order keys times lines do."""
+    lines = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return (lines.agg(F.max("n")).first()[0] or 0) + 1
+
+
+def line_quantity():
+    return F.col("l_partkey") % 3 + 1
+
+
+def line_lag(modulus: int):
+    """Seconds between order and line, from both numbers' remainders: no product that grows with the keys."""
+    key, n = F.col("l_orderkey") % modulus, F.col("n") % modulus
+    return (key * LINE_KEY_FACTOR + n * LINE_LAG_FACTOR) % modulus
 
 
 def order_create_time(orderkey, orderdate):
     """The order's time of day is derived from its key (the dates carry none)."""
-    return add_seconds(orderdate.cast("timestamp"), orderkey * ORDER_SECONDS_FACTOR % 86400)
+    return add_seconds(orderdate.cast("timestamp"), orderkey % 86400 * ORDER_SECONDS_FACTOR % 86400)
 
 
 def add_seconds(ts, secs):

@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as se
 from conftest import canonical
+from emporia.plans import catalog
 
-QUERIES = se.queries()
-ORACLES = se.oracle_sql()
+catalog.load_all()
+QUERIES = {k: v for k, v in se.queries().items() if k in catalog.QUERIES}
+ORACLES = catalog.ORACLES
 
 
 def test_every_query_has_a_name_and_most_have_an_oracle():
