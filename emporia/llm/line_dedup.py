@@ -33,14 +33,14 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _ascii_lower(text: Column) -> Column:
+def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, tie, pos, h1, h2 of every line whose key is long enough; tie tells texts under one doc_id apart."""
     lines = docs.where(F.col("doc_id").isNotNull() & (F.char_length("text") >= min_chars)).select(
-        "doc_id", F.xxhash64("text").alias("tie"), F.posexplode(lines_of(_ascii_lower(F.col("text")))).alias("pos", "line")
+        "doc_id", F.xxhash64("text").alias("tie"), F.posexplode(lines_of(ascii_lower(F.col("text")))).alias("pos", "line")
     )
     keys = lines.withColumn("key", F.trim("line", F.lit(WHITESPACE))).where(F.char_length("key") >= min_chars)
     return keys.select("doc_id", "tie", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(MIN_CHARS), F.col("key")).alias("h2"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import chat, decontam, html_text, langid, line_dedup, minhash, mixing, quality, token_counts, warc
+from emporia.llm import chat, decontam, html_text, langid, line_dedup, merkle, minhash, mixing, prefix_trie, quality, simhash, token_counts, warc
 from emporia.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,26 @@ def chat_query(spark, sf_dir):
 @_query("op10_html_text")
 def html_query(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_prefix_trie")
+def prefix_trie_query(spark, sf_dir):
+    return prefix_trie.trie(*prefix_trie.rebuilt(*prefix_trie.turn_ids(table(spark, sf_dir, "conversations"))))
+
+
+@_query("op12_simhash")
+def simhash_query(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@_query("op13_merkle")
+def merkle_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*MANIFEST_FIELDS)
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    fields = [line_dedup.ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in MANIFEST_FIELDS]
+    rows = merkle.manifest(docs.withColumn("tampered", F.when(changed, merkle.leaf_digest(fields))), MANIFEST_FIELDS, "lang", "doc_id", carry=["tampered"])
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
