@@ -148,7 +148,7 @@ from dwd_detail d join dwd_order o on o.id = d.order_id
 
 # Paid share per line with the reference's sequential rule, as a window over
 # integer cents (HALF_UP division: (2*F*o + T) // (2*T) for non-negative values).
-_cte("wide", """
+WIDE_SQL = """
 select * exclude (o_c, t_c, f_c, raw_c, run_c, prev_c, rn),
        cast(case when t_c = 0 then (case when rn = 1 then f_c when o_c = 0 then 0 end)
                  when rn > 1 and run_c = t_c and o_c <> 0 then f_c - prev_c
@@ -162,8 +162,19 @@ from (
     from (select *, cast(round(sku_price * 100) as hugeint) * sku_num o_c,
                  cast(round(original_total_amount * 100) as hugeint) t_c,
                  cast(round(final_total_amount * 100) as hugeint) f_c
-          from wide_unsplit) a) b) c
-""", ("wide_unsplit",))
+          from {src}) a) b) c
+"""
+
+_cte("wide", WIDE_SQL.format(src="wide_unsplit"), ("wide_unsplit",))
+
+# the lines that a stream join of 600 s lets through
+_cte("near_unsplit", """
+select w.* from wide_unsplit w join order_detail d on d.id = w.order_detail_id join order_info o on o.id = w.order_id
+where abs(epoch(d.create_time) - epoch(o.create_time)) <= 600
+""", ("wide_unsplit", "order_detail", "order_info"))
+
+_cte("near_wide", WIDE_SQL.format(src="near_unsplit"), ("near_unsplit",))
+
 
 
 _cte("cdc_ids", """

@@ -85,10 +85,13 @@ class TopicStore:
             out.select("value").write.mode("append").text(self.path(topic))
 
     def publish_in_slices(self, df: DataFrame, topic: str, event_time: Column, slices: int,
-                          rows_per_file: int = 50_000) -> None:
+                          rows_per_file: int = 50_000, rows_per_slice: int = 1_000_000, cuts: list[float] | None = None) -> list[float]:
         """Write ``df.value`` to ``topic`` as up to ``slices`` consecutive
         commits in event-time order, each holding about the same number of
         rows, and each written in parallel into the same number of files.
+        There are more than ``slices`` where these would hold over
+        ``rows_per_slice`` rows, so a trigger's size doesn't grow with the
+        topic.  ``cuts`` (another topic's, as returned) may fix the times.
 
         The rows are staged once, so the source query runs once however many
         slices there are; cuts and counts come from the staged event times.
@@ -98,10 +101,12 @@ class TopicStore:
         stage = scratch_dir(self.spark, f"stage-{topic}")
         df.select("value", F.coalesce(event_time.cast("double"), F.lit(float("-inf"))).alias("_t")).write.parquet(stage)
         staged = self.spark.read.parquet(stage)
-        cuts = staged.agg(F.percentile_approx("_t", [i / slices for i in range(1, slices)]).alias("c")).first()["c"]
+        if cuts is None:
+            slices = max(slices, -(-staged.count() // rows_per_slice))
+            cuts = staged.agg(F.percentile_approx("_t", [i / slices for i in range(1, slices)]).alias("c")).first()["c"]
         cuts = sorted(set(cuts or []))
         # number of cuts at or below the row's time: one group per slice
-        no = sum(((F.col("_t") > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+        no = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: F.col("_t") > c))
         counts = sorted((r["n"], r["count"]) for r in staged.groupBy(no.alias("n")).count().collect())
         largest = max((c for _, c in counts), default=0)
         files = -(-largest // rows_per_file) or 1
@@ -120,3 +125,4 @@ class TopicStore:
         if not groups:
             self.write_batch(staged.select("value"), topic, files=1)
         self.slice_files[topic] = files
+        return cuts

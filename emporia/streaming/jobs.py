@@ -17,6 +17,8 @@ from emporia import schemas
 from emporia.functions import jsonx
 from emporia.operators import ingest, orders
 from emporia.session import scratch_dir
+from emporia.streaming import split_state
+from emporia.streaming.commits import BatchCommits, Output
 
 # Allowed lateness of events behind the newest one seen (watermark delay).
 DEFAULT_LATENESS = "1 hour"
@@ -110,6 +112,24 @@ def wide_dedup(wide: DataFrame) -> DataFrame:
     return wide.dropDuplicatesWithinWatermark(["order_detail_id"])
 
 
+def dws_chain(order_values: DataFrame, detail_values: DataFrame, bound_s: int = CACHED_JOIN_BOUND_S,
+              lateness: str = DEFAULT_LATENESS, retention_ms: int | None = None) -> DataFrame:
+    """The whole wide-order job as one query (operator 53): order ⋈ line, one
+    row per line id, paid amount split, each step with its own state; the
+    output has the columns of the wide row."""
+    wide = wide_dedup(order_detail_join(order_values, detail_values, bound_s, lateness))
+    keep = [c for c in orders.ORDER_WIDE_COLUMNS if c != "final_detail_amount"]
+    return split_state.split_stream(wide, retention_ms, tuple(keep)).select(*orders.ORDER_WIDE_COLUMNS)
+
+
+def dws_outputs() -> dict[str, Output]:
+    """What a batch of wide rows goes to: the wide table by day and the next topic."""
+    return {
+        "order_wide": Output(lambda b: b, partition_by=("dt",)),
+        "DWS_ORDER_WIDE": Output(lambda b: b.select(F.to_json(F.struct("*")).alias("value")), "text"),
+    }
+
+
 # ---- sliding windows --------------------------------------------------------
 
 def sliding_order_windows(order_values: DataFrame, length: str = "10 seconds", slide: str = "5 seconds",
@@ -157,24 +177,16 @@ def dim_refresh_writer(spark: SparkSession, province_path: str, out_path: str):
     return run
 
 
-def ledger_writer(out_path: str, group_col: str, amount_col: str):
-    """``foreachBatch`` function for exactly-once per-batch sums (operator 54).
+def ledger(spark: SparkSession, root: str, group_col: str, amount_col: str, checkpoint: str | None = None):
+    """(commits, outputs) of exactly-once per-batch sums (operator 54): each
+    micro-batch's sums and the offsets they come from are published together
+    (``BatchCommits``), so a batch replayed after a crash counts once."""
+    sums = lambda batch: batch.groupBy(F.col(group_col).alias("trademark_name")).agg(
+        F.sum(F.col(amount_col).cast("decimal(18,2)")).alias("amount"))
+    return BatchCommits(spark, root, checkpoint), {"sums": Output(sums)}
 
-    Each micro-batch's sums are written to ``batch_id=N`` with dynamic
-    partition overwrite: the result and its batch id are one atomic unit, and
-    a batch replayed after a crash (its offsets were not committed) rewrites
-    the same partition instead of adding a second copy.  The stream's
-    checkpoint holds the offsets, committed after the write succeeds."""
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        sums = batch.groupBy(F.col(group_col).alias("trademark_name")).agg(
-            F.sum(F.col(amount_col).cast("decimal(18,2)")).alias("amount")
-        )
-        (sums.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
-
-    return run
+LEDGER_SCHEMA = "trademark_name string, amount decimal(28,2)"
 
 
 def upsert_writer(out_path: str, key_cols: list[str]):

@@ -6,6 +6,9 @@ from __future__ import annotations
 import json
 from decimal import Decimal
 
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from emporia.session import scratch_dir
@@ -73,19 +76,6 @@ def test_dimension_is_reread_every_batch(spark):
     assert got == {1: "OLD", 2: "NEW"}
 
 
-def test_ledger_replay_overwrites_its_batch(spark):
-    out = scratch_dir(spark, "t-ledger")
-    write = jobs.ledger_writer(out, "tm_name", "amt")
-    batch = spark.createDataFrame([("a", Decimal("1.10")), ("a", Decimal("2.20")), (None, Decimal("3.00"))],
-                                  "tm_name string, amt decimal(12,2)")
-    write(batch, 0)
-    write(batch, 0)            # replay after a crash before the offset commit
-    write(batch.limit(1), 1)   # the next batch
-    rows = spark.read.parquet(out).groupBy("trademark_name").agg(F.sum("amount").alias("s")).collect()
-    got = {r.trademark_name: r.s for r in rows}
-    assert got == {"a": Decimal("4.40"), None: Decimal("3.00")}
-
-
 def test_split_stream_shares_add_up_with_lines_in_two_batches(spark):
     topics = TopicStore(spark)
     def wide(did, t):
@@ -149,12 +139,39 @@ def test_split_stream_restarts_with_other_partitions_and_takes_very_late_lines(s
         assert [got[i * 10 + k] for k in (1, 2, 3)] == [Decimal("6.67"), Decimal("6.67"), Decimal("6.66")]
 
 
+def _lines(rows):
+    """(order, line, known, o, t, f, raw or None) rows as the arrays of split_lines."""
+    cols = list(zip(*rows))
+    raw = np.array([0 if r is None else r for r in cols[6]], np.int64)
+    return [*(np.array(c, np.int64) for c in cols[:2]), np.array(cols[2], bool), *(np.array(c, np.int64) for c in cols[3:6]), raw, np.array([r is not None for r in cols[6]])]
+
+
 def test_split_lines_of_one_order_many_of_them_zero():
-    from pyspark.sql import Row
-    lines = [Row(order_detail_id=i, known=True, o_c=50 if i < 2 else 0, t_c=100, f_c=99, raw_c=50 if i < 2 else 0)
-             for i in range(100_000)]
-    out, state = split_state.split_lines(reversed(lines), 0, 0, 0)
-    assert [c for _, c in out[:3]] == [50, 49, 0] and state == (100, 99, 100_000)
+    rows = [(7, i, True, 50 if i < 2 else 0, 100, 99, 50 if i < 2 else 0) for i in reversed(range(100_000))]
+    by, shares, state = split_state.split_lines(*_lines(rows), {})
+    assert [rows[i][1] for i in by[:3]] == [0, 1, 2]
+    assert shares[:3] == [50, 49, 0] and state == {7: (100, 99, 100_000)}
+
+
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-2, 3), st.booleans(), st.integers(-1, 4)), max_size=30), st.integers(1, 4))
+@settings(max_examples=200, deadline=None)
+def test_split_lines_equal_the_rule_line_by_line(lines, batches):
+    rows = [(o, i, known, gross, (6, 0, 4)[o], 7 * o, None if raw < 0 else raw) for i, (o, gross, known, raw) in enumerate(lines)]
+    state, got = {}, {}
+    for b in range(batches):
+        part = rows[b::batches]
+        if part:
+            by, shares, new = split_state.split_lines(*_lines(part), state)
+            state |= new
+            got |= {part[i][1]: s for i, s in zip(by, shares)}
+    sums, want = {}, {}
+    for b in range(batches):
+        for o, i, known, gross, t, f, raw in sorted(rows[b::batches]):
+            acc, paid, seen = sums.get(o, (0, 0, 0))
+            acc += gross
+            want[i] = f - paid if known and t == (acc if seen else 0) else raw
+            sums[o] = (acc, paid + (want[i] or 0), seen + 1)
+    assert got == want and state == sums
 
 
 def test_split_stream_with_retention_evicts_and_still_splits(spark):
