@@ -5,8 +5,10 @@ from __future__ import annotations
 from decimal import ROUND_HALF_UP, Decimal
 from itertools import accumulate
 
+import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.operators.split import amount_split
@@ -143,13 +145,13 @@ def test_stream_split_lines_matches_reference_loop_across_batches(data):
                 cur = []
     if cur:
         batches.append(cur)
-    state = {}
-    got = {}
+    state, got = {}, {}
     for b in batches:
-        for oid in {r.order_id for r in b}:
-            out, state[oid] = split_lines([r for r in b if r.order_id == oid], *state.get(oid, (0, 0, 0)))
-            for did, c in out:
-                got[did] = None if c is None else Decimal(c) / 100
+        longs = lambda c: np.array([getattr(r, c) or 0 for r in b], np.int64)
+        by, shares, new = split_lines(longs("order_id"), longs("order_detail_id"), np.array([r.known for r in b]), longs("o_c"), longs("t_c"),
+                                      longs("f_c"), longs("raw_c"), np.array([r.raw_c is not None for r in b]), state)
+        state |= new
+        got |= {b[i].order_detail_id: None if c is None else Decimal(c) / 100 for i, c in zip(by, shares)}
     want = reference(orders)
     # the reference raises on a division by zero; compare the orders it can split
     assert {k: v for k, v in got.items() if want.get(k) is not None} == {k: v for k, v in want.items() if v is not None}
@@ -171,3 +173,38 @@ def test_narrow_stats_equal_stats_from_wide_rows(spark, sf_dir):
     a = order_stats(lines)
     b = narrow_stats(w.fx.order_detail, w.fx.order_info)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _wide_of(spark, n, total, lines="id"):
+    """One order of ``n`` lines of gross 1.00, 2.00 and -1.00 in turn, and a gross total of ``total``."""
+    return spark.range(n).select(
+        (F.col("id") + 10).alias("order_detail_id"), F.lit(5).cast("long").alias("order_id"),
+        F.element_at(F.array(*[F.lit(x).cast("decimal(12,2)") for x in (1, 2, -1)]), (F.col("id") % 3 + 1).cast("int")).alias("sku_price"),
+        F.lit(1).cast("long").alias("sku_num"), F.lit(total).cast("decimal(12,2)").alias("original_total_amount"),
+        F.lit(777.77).cast("decimal(12,2)").alias("final_total_amount"), F.lit(None).cast("decimal(12,2)").alias("final_detail_amount"),
+    )
+
+
+def test_ranges_of_an_order_give_the_rule_line_by_line(spark):
+    for total in (40, 41, 1_000_000):
+        got = {r[0]: r[1] for r in amount_split(_wide_of(spark, 200, total), range_lines=7).select("order_detail_id", "final_detail_amount").collect()}
+        acc, paid, want = Decimal(0), Decimal(0), {}
+        for i in range(200):
+            o = Decimal((1, 2, -1)[i % 3])
+            acc += o
+            raw = (Decimal("777.77") * o / total).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            want[i + 10] = Decimal("777.77") - paid if i and acc == total else raw
+            paid += want[i + 10]
+        assert got == want
+
+
+def test_an_open_order_of_a_million_lines_spreads_over_tasks(spark):
+    lines = 1_000_000
+    out = amount_split(_wide_of(spark, lines, 10_000_000), range_lines=50_000)
+    with_ranges = out.agg(F.sum("final_detail_amount"), F.count("*")).first()
+    whole = amount_split(_wide_of(spark, lines, 10_000_000), range_lines=lines).agg(F.sum("final_detail_amount"), F.count("*")).first()
+    assert with_ranges == whole and whole[1] == lines
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # every window over an order's lines is split by range; the ones left see one row a range or completing line
+    windows = [w for w in plan.splitlines() if "Window [sum(" in w and "order_detail_id" in w]
+    assert windows and all("_range" in w for w in windows)
