@@ -41,6 +41,15 @@ def sku_dim(sku: DataFrame, category3: DataFrame, trademark: DataFrame, spu: Dat
     )
 
 
+def join_trademark(lines: DataFrame, sku: DataFrame, trademark: DataFrame) -> DataFrame:
+    """Order lines with ``tm_name``: the one sku attribute that sales by
+    trademark need, without the sku's other lookups."""
+    s = sku.select(F.col("id").alias("_sku"), F.col("tm_id").alias("_tm"))
+    t = trademark.select(F.col("tm_id").alias("_t_id"), "tm_name")
+    named = s.join(t, s["_tm"] == t["_t_id"], "left").select("_sku", "tm_name")
+    return lines.join(named, lines["sku_id"] == named["_sku"], "left").drop("_sku")
+
+
 def lookup_by_ids(dim: DataFrame, wanted: DataFrame, dim_key: str = "id", wanted_key: str = "id") -> DataFrame:
     """Rows of ``dim`` whose key occurs in ``wanted`` (operator 3).
 

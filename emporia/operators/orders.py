@@ -141,6 +141,35 @@ def join_order_detail(order: DataFrame, detail: DataFrame, how: str = "inner") -
     )
 
 
+def order_lines(order_info: DataFrame, order_detail: DataFrame) -> DataFrame:
+    """Order ⋈ line on the order id before any enrichment: the columns of the
+    wide row that orders and lines have themselves, and ``province_id``."""
+    o = with_date_hour(order_info).select(
+        F.col("id").alias("_oid"), "order_status", F.col("create_time").alias("_o_create_time"), "user_id", "province_id",
+        "benefit_reduce_amount", "original_total_amount", "feight_fee", "final_total_amount", F.col("create_date").alias("dt"),
+    )
+    d = order_detail.select(
+        F.col("id").alias("order_detail_id"), "order_id", "sku_id", F.col("order_price").alias("sku_price"),
+        F.col("sku_num").cast("long").alias("sku_num"), "sku_name",
+    )
+    j = d.join(o, d["order_id"] == o["_oid"])
+    return j.select(
+        "order_detail_id", "order_id", "order_status", F.col("_o_create_time").alias("create_time"), "user_id", "province_id", "sku_id",
+        "sku_price", "sku_num", "sku_name", "benefit_reduce_amount", "original_total_amount", "feight_fee", "final_total_amount",
+        F.lit(None).cast("decimal(12,2)").alias("final_detail_amount"), "dt",
+    )
+
+
+def widened(lines: DataFrame, province: DataFrame, users: DataFrame, skus: DataFrame) -> DataFrame:
+    """``order_lines`` (split or not) -> the wide row: each dimension is joined
+    once, after the split."""
+    s = skus.select(F.col("id").alias("_sku"), *[F.col(c).cast("long").alias(c) for c in ("spu_id", "tm_id", "category3_id")],
+                    "spu_name", "tm_name", "category3_name")
+    rows = join_user(join_province(lines, province), users)
+    rows = rows.join(s, rows["sku_id"] == s["_sku"], "left").withColumn("if_first_order", F.lit(None).cast("string"))
+    return rows.select(*ORDER_WIDE_COLUMNS)
+
+
 def first_order_flag(order_info: DataFrame) -> DataFrame:
     """``if_first_order`` per order (operator 45): ``"1"`` for a user's
     earliest order (by create time, then id), else ``"0"``.

@@ -62,8 +62,27 @@ class Warehouse:
     def wide_unsplit(self) -> DataFrame:
         return orders.join_order_detail(self.order_info, self.order_detail)
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Order ⋈ line without any dimension."""
+        return orders.order_lines(self.fx.order_info, self.fx.order_detail)
+
+    @cached_property
+    def paid_lines(self) -> DataFrame:
+        """``order_lines`` with their paid shares: the split works on narrow
+        rows, and whoever needs a dimension joins it to the result, once."""
+        stats = split.narrow_stats(self.fx.order_detail, self.fx.order_info)
+        return split.amount_split(self.order_lines, stats=stats)
+
+    @cached_property
+    def paid_trademarks(self) -> DataFrame:
+        return dims.join_trademark(self.paid_lines, self.fx.sku, self.fx.trademark)
+
     @cached_property
     def wide(self) -> DataFrame:
         """Wide rows with ``final_detail_amount`` (money still decimal)."""
-        stats = split.narrow_stats(self.fx.order_detail, self.fx.order_info)
-        return split.amount_split(self.wide_unsplit, stats=stats)
+        return self.widened(self.paid_lines)
+
+    def widened(self, lines: DataFrame) -> DataFrame:
+        """The wide row of order lines: province, user and sku attributes."""
+        return orders.widened(lines, self.fx.province, self.users, self.skus)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -99,3 +99,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the checkpoint root and read back: its plan runs
+    once however often the result is used, and a lost executor re-reads it."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
