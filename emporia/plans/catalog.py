@@ -32,4 +32,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from emporia.plans import q_orders, q_marts, q_ingest, q_dau, q_serve, q_streams, q_sinks  # noqa: F401
+    from emporia.plans import q_orders, q_marts, q_ingest, q_dau, q_serve, q_streams, q_sinks, q_dims  # noqa: F401

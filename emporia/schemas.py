@@ -45,4 +45,14 @@ ORDER_WIDE = _st(
     ("tm_name", S), ("category3_name", S),
 )
 
+# dimension tables by source table: (key, schema)
+DIMENSIONS = {
+    "base_province": ("id", _st(("id", I), ("name", S), ("area_code", S), ("iso_code", S), ("iso_3166_2", S))),
+    "user_info": ("id", _st(("id", L), ("user_level", S), ("birthday", T.DateType()), ("gender", S))),
+    "sku_info": ("id", _st(("id", L), ("spu_id", L), ("price", T.DoubleType()), ("sku_name", S), ("tm_id", L), ("category3_id", I))),
+    "spu_info": ("id", _st(("id", L), ("spu_name", S))),
+    "base_trademark": ("tm_id", _st(("tm_id", L), ("tm_name", S))),
+    "base_category3": ("id", _st(("id", I), ("name", S), ("category2_id", I))),
+}
+
 USER_INFO = _st(("id", L), ("user_level", S), ("birthday", S), ("gender", S))

@@ -89,6 +89,38 @@ def cdc_change_rows(fx: Fixtures) -> DataFrame:
     return out
 
 
+def dim_sources(fx: Fixtures) -> list[tuple[str, DataFrame, str, str]]:
+    """(source table, rows, key, a text column that changes) of the six dimensions."""
+    return [
+        ("base_province", fx.province, "id", "name"), ("user_info", fx.user_info, "id", "user_level"), ("sku_info", fx.sku, "id", "sku_name"),
+        ("spu_info", fx.spu, "id", "spu_name"), ("base_trademark", fx.trademark, "tm_id", "tm_name"), ("base_category3", fx.category3, "id", "name"),
+    ]
+
+
+def dim_change_envelopes(fx: Fixtures) -> DataFrame:
+    """Array-form envelopes with two or three changes of every dimension row,
+    each with its offset ``xid``: an old value, the row, and for every fifth
+    key one more value.  Every third key's old value is sent last (``sent``)."""
+    parts = []
+    for name, df, key, text in dim_sources(fx):
+        k, value = F.col(key).cast("long"), F.col(text)
+        changes = F.filter(F.array(
+            F.struct(F.lit(1).alias("xid"), F.concat(F.lit("old "), value).alias("v")), F.struct(F.lit(2).alias("xid"), value.alias("v")),
+            F.struct(F.when(k % 5 == 0, 3).alias("xid"), F.concat(value, F.lit(" v2")).alias("v")),
+        ), lambda c: c.xid.isNotNull())
+        rows = _texted(df).withColumn("c", F.explode(changes))
+        data = F.to_json(F.struct(*[F.col("c.v").alias(c) if c == text else F.col(c) for c in df.columns], F.col("c.xid").alias("xid")))
+        sent = F.when((k % 3 == 0) & (F.col("c.xid") == 1), 4).otherwise(F.col("c.xid"))
+        each = rows.select(F.lit(name).alias("table"), F.floor(k / CDC_ARRAY_GROUP).alias("grp"), sent.alias("sent"), k.alias("id"), data.alias("data"))
+        grouped = each.groupBy("table", "grp", "sent").agg(F.sort_array(F.collect_list(F.struct("id", "data"))).alias("rows"))
+        value = F.format_string('{"table":"%s","data":[%s]}', F.col("table"), F.array_join(F.transform("rows", lambda r: r["data"]), ","))
+        parts.append(grouped.select(value.alias("value"), "sent"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def cdc_row_envelopes(fx: Fixtures) -> DataFrame:
     """Row-form envelopes ``{"table", "type", "data": {...}}`` as text."""
     ch = cdc_change_rows(fx)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ class TopicStore:
     format: str = "files"                # "files" or "kafka"
     kafka_servers: str | None = None
     slice_files: dict[str, int] = field(default_factory=dict)   # files of one published slice, by topic
+    next_offset: dict[str, int] = field(default_factory=dict)   # of file topics, as far as known
 
     def __post_init__(self):
         if self.root is None:
@@ -37,10 +39,34 @@ class TopicStore:
         return f"{self.root}/{topic}"
 
     # ---- read ------------------------------------------------------------
-    def read_stream(self, topic: str, slices_per_trigger: int = 1, starting_offsets: str = "earliest") -> DataFrame:
+    def end_offset(self, topic: str) -> int:
+        """The offset that the next write to a file topic gets: its number of writes so far."""
+        if topic not in self.next_offset:
+            try:
+                last = self.spark.read.schema("value string, offset long").text(self.path(topic)).agg(F.max("offset")).first()[0]
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                last = None
+            self.next_offset[topic] = 0 if last is None else last + 1
+        return self.next_offset[topic]
+
+    def _start(self, topic: str, starting_offsets: str | int) -> int:
+        end = self.end_offset(topic)
+        start = {"earliest": 0, "latest": end}.get(starting_offsets, starting_offsets)
+        if isinstance(start, bool) or not isinstance(start, int) or not 0 <= start <= end:
+            raise ValueError(f"{topic} has the offsets 0 to {end}, not {starting_offsets!r}")
+        return start
+
+    def read_stream(self, topic: str, slices_per_trigger: int = 1, starting_offsets: str | int = "earliest") -> DataFrame:
         """A topic as a streaming frame with a ``value`` text column (operator
         1).  A file topic is taken ``slices_per_trigger`` published slices (of
-        one file, where nothing was published in slices) at a time."""
+        one file, where nothing was published in slices) at a time.
+
+        ``starting_offsets``: ``earliest``, ``latest`` (what is written from
+        now on) or, for a Kafka topic, the connector's JSON.  A file topic's
+        offset is the number of a write to it, a partition of its folder, so
+        that earlier writes are not read; one it doesn't have raises."""
         if self.format == "kafka":
             return (
                 self.spark.readStream.format("kafka")
@@ -50,11 +76,13 @@ class TopicStore:
                 .load()
                 .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
             )
-        return (
-            self.spark.readStream.schema("value string")
+        rows = (
+            self.spark.readStream.schema("value string, offset long")
             .option("maxFilesPerTrigger", slices_per_trigger * self.slice_files.get(topic, 1))
             .text(self.path(topic))
         )
+        start = self._start(topic, starting_offsets)
+        return (rows.where(F.col("offset") >= start) if start else rows).select("value")
 
     def read_batch(self, topic: str) -> DataFrame:
         if self.format == "kafka":
@@ -65,7 +93,7 @@ class TopicStore:
                 .load()
                 .select(F.col("value").cast("string").alias("value"))
             )
-        return self.spark.read.schema("value string").text(self.path(topic))
+        return self.spark.read.schema("value string, offset long").text(self.path(topic)).select("value")
 
     # ---- write -----------------------------------------------------------
     def write_batch(self, df: DataFrame, topic: str | None = None, files: int | None = None) -> None:
@@ -82,7 +110,9 @@ class TopicStore:
         if topic is None:
             out.select("topic", "value").write.mode("append").partitionBy("topic").text(self.root)
         else:
-            out.select("value").write.mode("append").text(self.path(topic))
+            offset = self.end_offset(topic)
+            out.select("value").write.mode("append").text(f"{self.path(topic)}/offset={offset}")
+            self.next_offset[topic] = offset + 1
 
     def publish_in_slices(self, df: DataFrame, topic: str, event_time: Column, slices: int,
                           rows_per_file: int = 50_000, rows_per_slice: int = 1_000_000, cuts: list[float] | None = None) -> list[float]:

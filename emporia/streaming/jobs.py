@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from emporia import schemas
 from emporia.functions import jsonx
-from emporia.operators import ingest, orders
+from emporia.operators import dims, ingest, orders
 from emporia.session import scratch_dir
+from emporia.sinks.dimensions import DimTable
 from emporia.streaming import split_state
 from emporia.streaming.commits import BatchCommits, Output
 
@@ -26,6 +27,8 @@ DEFAULT_LATENESS = "1 hour"
 # 10 s window; the cached variant keeps unmatched rows for 600 s.
 WINDOW_JOIN_BOUND_S = 10
 CACHED_JOIN_BOUND_S = 600
+# Parts that an order's lines are dealt over in the join's state.
+JOIN_SALTS = 4
 
 
 # ---- DAU ------------------------------------------------------------------
@@ -65,7 +68,7 @@ def decode_details(values: DataFrame) -> DataFrame:
 
 
 def order_detail_join(order_values: DataFrame, detail_values: DataFrame, bound_s: int,
-                      lateness: str = DEFAULT_LATENESS, how: str = "inner") -> DataFrame:
+                      lateness: str = DEFAULT_LATENESS, how: str = "inner", salts: int | None = None) -> DataFrame:
     """Order ⋈ line on the order id, for rows whose event times lie within
     ``bound_s`` seconds of each other (operators 25, 26).
 
@@ -74,25 +77,41 @@ def order_detail_join(order_values: DataFrame, detail_values: DataFrame, bound_s
     watermark and the time-range condition lets Spark drop join state once
     the watermark has passed ``event time + bound``.  Each (order, line)
     pair is emitted once (D10).  The order side's event time is dropped after
-    the join, so stateful steps downstream see one event-time column."""
+    the join, so stateful steps downstream see one event-time column.
+
+    Streams have no skew handling of their own, so the lines of an order are
+    dealt over ``salts`` parts by their id, and the (narrow, fewer) orders are
+    copied to each part: a hot order's lines spread over as many tasks, and a
+    line still meets its order once.  An outer join is not dealt (``salts`` 1),
+    as an order without lines would come out of every part.
+
+    ``how="full_outer"`` (operator 27): rows that met no partner come out, with
+    nulls for the other side, when the watermark passes the bound."""
+    salts = salts or (JOIN_SALTS if how == "inner" else 1)
+    if how != "inner" and salts > 1:
+        raise ValueError("only an inner join can deal an order's lines over several parts")
     o = decode_orders(order_values).withColumn("_o_et", F.to_timestamp("create_time")).withWatermark("_o_et", lateness)
     d = decode_details(detail_values).withColumn("_d_et", F.to_timestamp("create_time")).withWatermark("_d_et", lateness)
-    bound = F.make_dt_interval(secs=F.lit(bound_s))
+    # a literal: the planner derives from it how long a row has to be kept
+    bound = F.expr(f"interval '{bound_s}' second")
     oo = o.select(
         F.col("id").alias("_oid"), "order_status", F.col("create_time").alias("_o_create_time"), "user_id",
         "benefit_reduce_amount", "original_total_amount", "feight_fee", "final_total_amount", "if_first_order",
         "province_name", "province_area_code", "user_age_group", "user_gender", F.col("create_date").alias("dt"),
-        "_o_et",
+        "_o_et", *([F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_o_part")] if salts > 1 else []),
     )
     dd = d.select(
         F.col("id").alias("order_detail_id"), "order_id", "sku_id", F.col("order_price").alias("sku_price"),
         "sku_num", "sku_name", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name", "_d_et",
+        *([F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_d_part")] if salts > 1 else []),
     )
     cond = (
         (dd["order_id"] == oo["_oid"])
         & (dd["_d_et"] >= oo["_o_et"] - bound)
         & (dd["_d_et"] <= oo["_o_et"] + bound)
     )
+    if salts > 1:
+        cond = (dd["_d_part"] == oo["_o_part"]) & cond
     j = dd.join(oo, cond, how)
     return j.select(
         "order_detail_id", F.coalesce("_oid", "order_id").alias("order_id"), "order_status",
@@ -125,7 +144,8 @@ def dws_chain(order_values: DataFrame, detail_values: DataFrame, bound_s: int =
 def dws_outputs() -> dict[str, Output]:
     """What a batch of wide rows goes to: the wide table by day and the next topic."""
     return {
-        "order_wide": Output(lambda b: b, partition_by=("dt",)),
+        # by day: one task's file a day, unless a day is large
+        "order_wide": Output(lambda b: b.hint("rebalance", "dt"), partition_by=("dt",)),
         "DWS_ORDER_WIDE": Output(lambda b: b.select(F.to_json(F.struct("*")).alias("value")), "text"),
     }
 
@@ -158,6 +178,45 @@ def cdc_fanout(envelopes: DataFrame) -> DataFrame:
     return ingest.cdc_rowform_filter(ingest.decode_cdc_row(envelopes)).select("topic", "table", "type", "data")
 
 
+def cdc_array_fanout(envelopes: DataFrame) -> DataFrame:
+    """Array-form change stream -> (topic, table, data) rows, one per element (operator 51)."""
+    return ingest.cdc_arrayform_explode(envelopes).select("topic", "table", "data")
+
+
+# ---- dimensions and enrichment ------------------------------------------------
+
+def dim_upsert_writer(tables: dict[str, DimTable]):
+    """``foreachBatch`` function merging (table, data) change rows into the
+    dimension tables they name (operator 56); the batch is computed once."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, dim in tables.items():
+                rec = jsonx.decode(F.col("data"), dim.schema).alias("r")
+                dim.upsert(batch.where(F.col("table") == name).select(rec).select("r.*"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
+def order_enrichment(province: DimTable, users: DimTable, as_of: str) -> dict[str, Output]:
+    """The DWD order of a batch of order records (operators 21, 22): only the
+    users and provinces that the batch names are looked up, as stored now."""
+
+    def rows(batch: DataFrame) -> DataFrame:
+        found = dims.user_dim(users.lookup(batch, "user_id"), as_of)
+        return orders.dwd_order_info(batch, province.lookup(batch, "province_id"), found)
+
+    return {"dwd_order": Output(rows)}
+
+
+def detail_enrichment(skus: DimTable) -> dict[str, Output]:
+    """The DWD order line of a batch of line records (operator 24)."""
+    return {"dwd_detail": Output(lambda batch: orders.dwd_order_detail(batch, skus.lookup(batch, "sku_id")))}
+
+
 # ---- foreachBatch writers ---------------------------------------------------
 
 def dim_refresh_writer(spark: SparkSession, province_path: str, out_path: str):

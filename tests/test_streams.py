@@ -7,6 +7,7 @@ import json
 from decimal import Decimal
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -221,3 +222,43 @@ def test_dau_aggregate_stream_keeps_earliest_record_when_it_arrives_later(spark)
                        .foreachBatch(sink.write), "t-dau", spark)
     got = {r.mid: (r.ch, r.ts, r.dt, r.hr) for r in sink.read().collect()}
     assert got == {"m1": ("early", DAY + 60_000, "2024-01-01", "00"), "m2": ("view", DAY + 5_000, "2024-01-01", "00")}
+
+
+def test_file_topic_starts_at_the_given_offset(spark):
+    topics = TopicStore(spark)
+    for i in range(4):
+        _publish(spark, topics, "S", [f"v{i}"])
+
+    def read(start, later=None):
+        out, ckpt = scratch_dir(spark, "t-offset"), scratch_dir(spark, "t-offset-ckpt")
+        stream = topics.read_stream("S", starting_offsets=start)
+        if later:
+            _publish(spark, topics, "S", [later])
+        jobs.run_available(stream.writeStream.format("parquet").option("path", out), "t-offset", spark, ckpt)
+        return sorted(r.value for r in spark.read.schema("value string").parquet(out).collect())
+
+    assert read("earliest") == ["v0", "v1", "v2", "v3"] and read(0) == read("earliest") and read(2) == ["v2", "v3"]
+    assert read("latest", later="v4") == ["v4"]
+    # another store over the same folder finds the end itself
+    assert TopicStore(spark, root=topics.root).end_offset("S") == 5
+    for bad in (6, -1, "newest", "1", None):
+        with pytest.raises(ValueError):
+            topics.read_stream("S", starting_offsets=bad)
+    rows = spark.read.schema("value string, offset long").text(topics.path("S")).where("offset >= 3")
+    assert "PartitionFilters: [isnotnull(offset" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_one_day_read_one_folder(spark):
+    from emporia.sinks.writers import append_by_day, read_day_partitioned
+
+    path = scratch_dir(spark, "t-days")
+    append_by_day(spark.range(300).select("id", F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string")).alias("dt")), path)
+    day = read_day_partitioned(spark, path).where("dt = '2024-01-02'")
+    assert day.count() == 100
+    assert {f.split("dt=")[1].split("/")[0] for f in day.inputFiles()} >= {"2024-01-02"}
+    scans = [x for x in day._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert len(scans) == 1 and "2024-01-02" in scans[0].split("PartitionFilters: [")[1].split("]")[0]
+    # the day known only when the query runs
+    wanted = spark.createDataFrame([("2024-01-03", 1)], "dt string, flag int").where("flag = 1")
+    joined = read_day_partitioned(spark, path).join(F.broadcast(wanted), "dt")
+    assert joined.count() == 100 and "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString().lower()
