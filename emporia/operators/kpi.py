@@ -8,7 +8,7 @@ AQE measures it small (it is: one row per day).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.labels import KPI_DAU_NAME, KPI_NEW_MID_NAME, KPI_ORDER_AMOUNT_NAME
@@ -26,16 +26,12 @@ def realtime_total(dau_total: DataFrame, new_mid: DataFrame, order_total: DataFr
         .unionByName(order_total.select("dt", F.lit("order_amount").alias("id"),
                                         F.col("order_amount").cast("double").alias("value")))
     )
-    days = long.select("dt").distinct()
-    kpis = F.array(
-        F.struct(F.lit("dau").alias("id"), F.lit(KPI_DAU_NAME).alias("name")),
-        F.struct(F.lit("new_mid").alias("id"), F.lit(KPI_NEW_MID_NAME).alias("name")),
-        F.struct(F.lit("order_amount").alias("id"), F.lit(KPI_ORDER_AMOUNT_NAME).alias("name")),
-    )
-    grid = days.select("dt", F.explode(kpis).alias("k")).select("dt", "k.id", "k.name")
-    return grid.join(long, ["dt", "id"], "left").select(
-        "dt", "id", "name", F.coalesce(F.col("value"), F.lit(0.0)).alias("value")
-    )
+    # each source once: the day's values side by side, then a row a KPI
+    value = lambda k: F.coalesce(F.max(F.when(F.col("id") == k, F.col("value"))), F.lit(0.0))
+    named = (("dau", KPI_DAU_NAME), ("new_mid", KPI_NEW_MID_NAME), ("order_amount", KPI_ORDER_AMOUNT_NAME))
+    day = long.groupBy("dt").agg(*[value(k).alias(k) for k, _ in named])
+    kpis = F.array(*[F.struct(F.lit(k).alias("id"), F.lit(name).alias("name"), F.col(k).alias("value")) for k, name in named])
+    return day.select("dt", F.explode(kpis).alias("k")).select("dt", "k.id", "k.name", "k.value")
 
 
 def hourly_long(dau_hour: DataFrame, order_hour: DataFrame) -> DataFrame:
@@ -52,25 +48,25 @@ def today_vs_yesterday(hourly: DataFrame) -> DataFrame:
     """Per KPI, day and hour: today's value beside the same hour of the day
     before (operator 36).  Days are the days that have data; a side with no
     data is null (the dashboard draws it as missing)."""
-    today = hourly.select("id", "dt", "hr", F.col("value").alias("today"))
-    yest = hourly.select(
-        "id", F.date_format(F.date_add(F.col("dt").cast("date"), 1), "yyyy-MM-dd").alias("dt"), "hr",
-        F.col("value").alias("yesterday"),
+    next_day = F.date_format(F.date_add(F.col("dt").cast("date"), 1), "yyyy-MM-dd")
+    none = F.lit(None).cast("double")
+    # a value is its own day's "today" and the next day's "yesterday"
+    sides = F.array(
+        F.struct(F.col("dt"), F.col("value").alias("today"), none.alias("yesterday"), F.lit(True).alias("own")),
+        F.struct(next_day.alias("dt"), none.alias("today"), F.col("value").alias("yesterday"), F.lit(False).alias("own")),
     )
-    both = today.join(yest, ["id", "dt", "hr"], "full_outer")
-    days = hourly.select(F.col("dt").alias("_d")).distinct()
-    return both.join(days, both["dt"] == days["_d"], "left_semi")
+    both = hourly.select("id", "hr", F.explode(sides).alias("s")).groupBy("id", F.col("s.dt").alias("dt"), "hr").agg(
+        F.max("s.today").alias("today"), F.max("s.yesterday").alias("yesterday"), F.max("s.own").alias("_own"))
+    # a day has at most 24 rows a KPI here
+    both = both.withColumn("_day", F.max("_own").over(Window.partitionBy("dt")))
+    return both.where("_day").select("id", "dt", "hr", "today", "yesterday")
 
 
 def hour_zero_fill(hourly: DataFrame) -> DataFrame:
     """Dense 00..23 axis per KPI and day, absent hours 0 (operator 37)."""
-    keys = hourly.select("id", "dt").distinct()
-    axis = keys.select("id", "dt", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h")).select(
-        "id", "dt", F.lpad(F.col("h").cast("string"), 2, "0").alias("hr")
-    )
-    return axis.join(hourly, ["id", "dt", "hr"], "left").select(
-        "id", "dt", "hr", F.coalesce(F.col("value"), F.lit(0.0)).alias("value")
-    )
+    hours = F.sequence(F.lit(0), F.lit(23))
+    filled = hour_map(hourly).select("id", "dt", F.explode(F.transform(hours, lambda h: F.lpad(h.cast("string"), 2, "0"))).alias("hr"), "hours")
+    return filled.select("id", "dt", "hr", F.coalesce(F.try_element_at("hours", F.col("hr")), F.lit(0.0)).alias("value"))
 
 
 def hour_map(hourly: DataFrame) -> DataFrame:

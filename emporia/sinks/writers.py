@@ -1,8 +1,9 @@
 """Sinks (operators 55-61): tables, daily documents, dimension versions.
 
-All writes are idempotent by construction: a write replaces exactly the
-partition it owns (``batch_id``, ``version``), so re-running a batch after a
-lost executor or a crashed driver gives the same table, never a second copy.
+Daily documents and dimension versions are idempotent: a write replaces the
+partition it owns (``batch_id``, ``version``).  ``append_by_day`` and
+``archive_text_by_day`` append: a batch that is run again is there twice.
+Streams that must not do so go through ``streaming.commits``.
 """
 
 from __future__ import annotations

@@ -142,10 +142,12 @@ def dws_chain(order_values: DataFrame, detail_values: DataFrame, bound_s: int =
 
 
 def dws_outputs() -> dict[str, Output]:
-    """What a batch of wide rows goes to: the wide table by day and the next topic."""
+    """What a batch of wide rows goes to: the wide table and the next topic.
+
+    The table is stored by batch, not by day: a batch's days lie close
+    together, and files sorted by day are skipped by their statistics."""
     return {
-        # by day: one task's file a day, unless a day is large
-        "order_wide": Output(lambda b: b.hint("rebalance", "dt"), partition_by=("dt",)),
+        "order_wide": Output(lambda b: b.sortWithinPartitions("dt")),
         "DWS_ORDER_WIDE": Output(lambda b: b.select(F.to_json(F.struct("*")).alias("value")), "text"),
     }
 
