@@ -8,9 +8,14 @@ manifest of finished tasks are read.
 
 Reading: every record is checked (gzip member, version line, lengths, block
 and payload digests).  After a failed check the reader searches for the next
-valid gzip member or version line and goes on there; the bytes between are
-logged as a gap with the reason.  Files are read in pieces, each task holding
-one record at a time.
+valid version line of the decompressed member, or for the next gzip member or
+version line of the file, and goes on there; the bytes between are logged as a
+gap with the reason.  So a member of many records loses only what is damaged:
+records before a place that can't be decompressed are kept.  Records and gaps
+inside a member have the member's offset, and their place and length in the
+decompressed member (``inner``, ``length``); others have their place in the
+file.  Files and members are read in pieces, each task holding one record at a
+time.
 
 Cases: a null html is an empty payload, a null url writes no target; line
 breaks in a url are percent-coded; a null page_id is never the largest and is
@@ -23,9 +28,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -42,7 +48,12 @@ DATE = "1970-01-01T00:00:00Z"  # the pages have no time; a fixed one makes rerun
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_PREFIX = "urn:page:"
 GZIP_MAGIC = b"\x1f\x8b\x08"
-RECORD = "path string, offset long, length long, kind string, warc_type string, record_id string, target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary, reason string"
+VERSION = b"WARC/1."
+LONG = 1 << 22  # a block beyond this is read only after a look at whether there are as many bytes
+_LINE = re.compile(rb"[!#$%&'*+.^_`|~0-9A-Za-z-]+[ \t]*:")
+_LINE_BEGIN = re.compile(rb"[ \t]|[!#$%&'*+.^_`|~0-9A-Za-z-]*[ \t]*(?:$|:|\r$)")
+_NO_LINE = re.compile(rb"\x00|\n|\r(?!\n|$)")
+RECORD = "path string, offset long, length long, inner long, kind string, warc_type string, record_id string, target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary, reason string"
 
 
 def _b32(digest: bytes) -> str:
@@ -88,6 +99,8 @@ def with_responses(pages: DataFrame) -> DataFrame:
     repeated = sized.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.max("page_id").alias("_largest"), F.count("html").alias("_n"))
     # written, so that the planner knows its size before it decides how pages are moved
     repeated = staged(repeated.where(F.col("_n") > 1).select("_digest", "_largest"), "repeated-payloads")
+    # a key that matches nothing, so that small pages don't all meet in the task of the null key
+    sized = sized.withColumn("_digest", F.coalesce("_digest", F.concat(F.lit("-"), F.xxhash64("page_id", "url", "html"))))
     joined = sized.join(repeated, "_digest", "left")
     revisit = F.col("_largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_largest"))
     return joined.select("page_id", "url", "html", F.when(revisit, F.col("_largest")).cast("long").alias("response_id"))
@@ -126,26 +139,90 @@ class Broken(Exception):
     """A record that fails a check."""
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and total length of the record at the start of ``data``; Broken if a check fails."""
-    if not data.startswith(b"WARC/1."):
-        raise Broken("no version line")
-    end = data.find(b"\r\n\r\n")
-    if end < 0:
-        raise Broken("headers not ended")
-    headers = {}
-    for line in data[:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
+class Bytes:
+    """Bytes that arrive in pieces; what is before ``at`` has been let go.
+
+    ``problem`` says why no more came, where that isn't the regular end.
+    """
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at, self.problem, self.over = pieces, bytearray(), 0, None, False
+
+    def reaches(self, n: int) -> bool:
+        """Whether ``n`` bytes are held, after reading as far as needed."""
+        while len(self.held) < n and not self.over:
+            try:
+                self.held += next(self.pieces)
+            except StopIteration:
+                self.over = True
+            except Broken as e:
+                self.over, self.problem = True, str(e)
+        return len(self.held) >= n
+
+    def drop(self, n: int) -> None:
+        del self.held[:n]
+        self.at += n
+
+    def to_version_line(self) -> None:
+        """On to the next version line after the present place, or to the end."""
+        self.drop(min(1, len(self.held)))
+        while True:
+            found = self.held.find(VERSION)
+            if found >= 0:
+                return self.drop(found)
+            self.drop(max(0, len(self.held) - len(VERSION) + 1))
+            if not self.reaches(len(self.held) + 1):
+                return self.drop(len(self.held))
+
+
+def _headers(data: Bytes) -> tuple[dict[str, str], int]:
+    """The headers at the present place and where they end.
+
+    Checked byte by byte as they arrive, so that what is no header is given up
+    at once and not read to the end of the file.
+    """
+    if not data.reaches(len(VERSION)) or not data.held.startswith(VERSION):
+        raise Broken(data.problem or "no version line")
+    lines, at = [], 0
+    while True:
+        end = data.held.find(b"\r\n", at)
+        if end < 0:
+            if _NO_LINE.search(data.held, at) or (lines and not _LINE_BEGIN.match(data.held, at)):
+                raise Broken("header line without a name")
+            if not data.reaches(len(data.held) + 1):
+                raise Broken(data.problem or "headers not ended")
+            continue
+        line = bytes(data.held[at:end])
+        at = end + 2
+        if not line:
+            break
+        if lines and line[:1] in b" \t":
+            lines[-1] += line
+        elif _NO_LINE.search(line) or (lines and not _LINE.match(line)):
             raise Broken("header line without a name")
-        headers[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
+        else:
+            lines.append(line)
+    named = [x.partition(b":") for x in lines[1:]]
+    return {k.strip().decode("utf-8", "replace").lower(): v.strip().decode("utf-8", "replace") for k, _, v in named}, at
+
+
+def parse_record(data: Bytes, rest: Callable[[], int]) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and total length of the record at the present place; Broken if a check fails.
+
+    ``rest`` tells how many bytes there are from the present place on. It is
+    asked before a long block is read, so that a wrong length isn't followed.
+    """
+    headers, start = _headers(data)
     if not headers.get("content-length", "").isdigit():
         raise Broken("no content length")
-    start = end + 4
     stop = start + int(headers["content-length"])
-    block = data[start:stop]
-    if data[stop : stop + 4] != b"\r\n\r\n":
+    if stop > LONG and stop + 4 > rest():
+        raise Broken("length differs")
+    if not data.reaches(stop + 4):
+        raise Broken(data.problem or "truncated")
+    if data.held[stop : stop + 4] != b"\r\n\r\n":
         raise Broken("length differs")
+    block = bytes(data.held[start:stop])
     wanted = headers.get("warc-block-digest", "")
     if wanted.startswith("sha1:") and wanted != _b32(hashlib.sha1(block).digest()):
         raise Broken("block digest differs")
@@ -179,49 +256,88 @@ class Archive:
         self.file.seek(offset)
         return self.file.read(n)
 
-    def member(self, offset: int) -> tuple[bytes, int]:
-        """The decompressed gzip member at ``offset`` and where it ends."""
-        z, parts, at = zlib.decompressobj(31), [], offset
-        while not z.eof:
-            piece = self.at(at, CHUNK)
-            if not piece:
-                raise Broken("truncated")
+    def pieces(self, offset: int) -> Iterator[bytes]:
+        while offset < self.size:
+            piece = self.at(offset, CHUNK)
+            offset += len(piece)
+            yield piece
+
+    def member(self, offset: int, ends: list[int]) -> Iterator[bytes]:
+        """The gzip member at ``offset``, decompressed piece by piece; where it ends goes to ``ends``."""
+        z, at = zlib.decompressobj(31), offset
+        for piece in self.pieces(offset):
             at += len(piece)
-            try:
-                parts.append(z.decompress(piece))
-            except zlib.error as e:
-                raise Broken("gzip member damaged") from e
-            if at - offset <= CHUNK and not b"WARC/1."[: len(parts[0])] == parts[0][:7]:
-                raise Broken("no version line")
-        return b"".join(parts), at - len(z.unused_data)
-
-    def plain(self, offset: int) -> tuple[bytes, int]:
-        """The bytes of the uncompressed record at ``offset`` and where it ends."""
-        head = self.at(offset, CHUNK)
-        end = head.find(b"\r\n\r\n")
-        lengths = [x.partition(b":")[2].strip() for x in head[: max(0, end)].split(b"\r\n") if x.lower().startswith(b"content-length:")]
-        if not lengths or not lengths[0].isdigit():
-            raise Broken("no content length")
-        total = end + 4 + int(lengths[0]) + 4
-        if offset + total > self.size:
+            while piece and not z.eof:
+                try:
+                    out = z.decompress(piece, CHUNK)
+                except zlib.error as e:
+                    raise Broken("gzip member damaged") from e
+                piece = z.unconsumed_tail
+                yield out
+            if z.eof:
+                ends.append(at - len(z.unused_data))
+                return
+        try:
+            yield z.flush()
+        except zlib.error as e:
+            raise Broken("gzip member damaged") from e
+        if not z.eof:
             raise Broken("truncated")
-        return self.at(offset, total), offset + total
-
-    def records(self, offset: int) -> tuple[list[dict], int]:
-        """The checked records of the member or record at ``offset`` and where it ends."""
-        data, end = self.member(offset) if self.at(offset, 3) == GZIP_MAGIC else self.plain(offset)
-        out = []
-        while data:
-            headers, block, used = parse_record(data)
-            out.append(_described(headers, block))
-            data = data[used:]
-        return out, end
+        ends.append(self.size)
+
+    def measured(self, offset: int) -> tuple[int, bool]:
+        """How many bytes the member at ``offset`` decompresses to, and whether it is whole."""
+        n = 0
+        try:
+            for piece in self.member(offset, []):
+                n += len(piece)
+        except Broken:
+            return n, False
+        return n, True
+
+    def inside(self, offset: int, ends: list[int]) -> Iterator[tuple[str, int, int, dict]]:
+        """(kind, place, length, what) of the records and gaps in the member at ``offset``.
+
+        Places are those in the decompressed member. A record is given as soon
+        as it is read; one without a digest only if its member is whole.
+        Raises Broken at the end of a member that isn't whole.
+        """
+        data, size = Bytes(self.member(offset, ends)), None
+
+        def rest() -> int:
+            nonlocal size
+            size = size or self.measured(offset)
+            return size[0] - data.at
+
+        gap, reason = None, ""
+        while data.reaches(1):
+            try:
+                headers, block, used = parse_record(data, rest)
+                what = _described(headers, block)
+                if not headers.get("warc-block-digest", "").startswith("sha1:") and (what["payload_digest"] is None or what["payload"] is None):
+                    rest()
+                    if not size[1]:
+                        raise Broken("no digest in a damaged member")
+            except Broken as e:
+                if gap is None:
+                    gap, reason = data.at, str(e)
+                data.to_version_line()
+                continue
+            if gap is not None:
+                yield "gap", gap, data.at - gap, {"reason": reason}
+                gap = None
+            yield "record", data.at, used, what
+            data.drop(used)
+        if data.problem:
+            raise Broken(data.problem)
+        if gap is not None:
+            yield "gap", gap, data.at - gap, {"reason": reason}
 
     def next_start(self, offset: int) -> int | None:
         """The next place from ``offset`` on where a gzip member or a version line seems to start."""
         while offset < self.size:
             piece = self.at(offset, CHUNK)
-            found = [p for p in (piece.find(GZIP_MAGIC), piece.find(b"WARC/1.")) if p >= 0]
+            found = [p for p in (piece.find(GZIP_MAGIC), piece.find(VERSION)) if p >= 0]
             if found:
                 return offset + min(found)
             if offset + len(piece) >= self.size:
@@ -229,25 +345,41 @@ class Archive:
             offset += len(piece) - 6
         return None
 
-    def salvage(self) -> Iterator[tuple[str, int, int, dict]]:
-        """(kind, start, end, what) of all records and gaps in order."""
+    def salvage(self) -> Iterator[dict]:
+        """All records and gaps in order, with offset, length and, of those in a gzip member, inner."""
         at, gap, reason = 0, None, ""
         while at is not None and at < self.size:
+            before = [] if gap is None else [{"kind": "gap", "offset": gap, "length": at - gap, "reason": reason}]
             try:
-                found, end = self.records(at)
+                if self.at(at, 3) == GZIP_MAGIC:
+                    ends: list[int] = []
+                    waiting = []
+                    for kind, inner, length, what in self.inside(at, ends):
+                        row = {"kind": kind, "offset": at, "length": length, "inner": inner, **what}
+                        if kind == "gap":
+                            waiting.append(row)
+                            continue
+                        yield from before + waiting
+                        before, waiting = [], []
+                        gap = None
+                        yield row
+                    yield from before + waiting
+                    end = ends[0]
+                else:
+                    data = Bytes(self.pieces(at))
+                    headers, block, used = parse_record(data, lambda: self.size - at)  # noqa: B023
+                    what = _described(headers, block)
+                    yield from before
+                    yield {"kind": "record", "offset": at, "length": used, **what}
+                    end = at + used
             except Broken as e:
                 if gap is None:
                     gap, reason = at, str(e)
                 at = self.next_start(at + 1)
                 continue
-            if gap is not None:
-                yield "gap", gap, at, {"reason": reason}
-                gap = None
-            for r in found:
-                yield "record", at, end, r
-            at = end
+            gap, at = None, end
         if gap is not None:
-            yield "gap", gap, self.size, {"reason": reason}
+            yield {"kind": "gap", "offset": gap, "length": self.size - gap, "reason": reason}
 
 
 def read_archives(files: DataFrame, store_uri: str, with_payload: bool = True) -> DataFrame:
@@ -262,8 +394,8 @@ def read_archives(files: DataFrame, store_uri: str, with_payload: bool = True) -
             for path in batch.column("path").to_pylist():
                 rows, held = [], 0
                 with store.open_input_file(path) as f:
-                    for kind, start, end, what in Archive(f).salvage():
-                        row = {"path": path, "offset": start, "length": end - start, "kind": kind, **what}
+                    for row in Archive(f).salvage():
+                        row["path"] = path
                         if not with_payload:
                             row["payload"] = None
                         rows.append(row)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import json
+import random
 import zlib
 from collections import Counter
 
@@ -140,8 +142,6 @@ def brute_components(texts):
 
 
 def test_minhash_components_equal_brute_force(spark, edge, none, sf_dir):
-    import random
-
     random.seed(5)
     words = [f"w{k}" for k in range(400)]
     base, texts = random.choices(words, k=90), {}
@@ -275,6 +275,59 @@ def test_warc_round_trip_and_salvage(spark, tmp_path):
     assert warc.page_rows(warc.archive_and_read(pages.limit(0))).count() == 0
 
 
+def salvaged(data):
+    class File(io.BytesIO):
+        def size(self):
+            return len(self.getbuffer())
+
+    return [(r["kind"], r["offset"], r["length"], r.get("inner"), r.get("record_id")) for r in warc.Archive(File(bytes(data))).salvage()]
+
+
+def test_salvage_inside_a_member():
+    records = [warc.page_record(i, f"http://x/{i}", f"text {i} ".encode() * 4000, None) for i in range(3)]
+    n = len(records[0])
+    damaged = bytearray(records[1])
+    damaged[n // 2] ^= 1
+    first, last = ("record", 0, n, 0, "urn:page:0"), ("record", 0, n, 2 * n, "urn:page:2")
+    assert salvaged(warc._member(records[0] + bytes(damaged) + records[2])) == [first, ("gap", 0, n, n, None), last]
+    # no version line at the front of the member
+    assert salvaged(warc._member(b"x" * n + records[1] + records[2])) == [("gap", 0, n, 0, None), ("record", 0, n, n, "urn:page:1"), last]
+
+    rng = random.Random(1)
+    noisy = [warc.page_record(i, f"http://x/{i}", rng.randbytes(300_000), None) for i in range(3)]
+    cut = warc._member(b"".join(noisy))[:-100_000]
+    found = salvaged(cut + warc._member(records[0]))
+    assert [r[4] for r in found if r[0] == "record"] == ["urn:page:0", "urn:page:1", "urn:page:0"]
+    assert [r[1:3] for r in found if r[0] == "gap"] == [(0, len(cut))]
+    flipped = bytearray(warc._member(b"".join(noisy)))
+    flipped[450_000] ^= 1
+    assert [r[4] for r in salvaged(flipped) if r[0] == "record"][:1] == ["urn:page:0"]
+
+
+def test_salvage_of_records_without_digests_and_odd_headers():
+    bare = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    member = bytearray(warc._member(bare))
+    assert [r[0] for r in salvaged(member)] == ["record"]
+    member[-6] ^= 1
+    assert [r[0] for r in salvaged(member)] == ["gap"]
+    long = bare.replace(b"Content-Length", b"X: " + b"y" * 600_000 + b"\r\nContent-Length")
+    assert salvaged(long) == [("record", 0, len(long), None, None)]
+    wrong = b"WARC/1.0\r\nContent-Length: 99999999999\r\n\r\n"
+    assert salvaged(wrong + bare) == [("gap", 0, len(wrong), None, None), ("record", len(wrong), len(bare), None, None)]
+    assert salvaged(warc._member(wrong + bare)) == [("gap", 0, len(wrong), 0, None), ("record", 0, len(bare), len(wrong), None)]
+    assert salvaged(b"") == [] and [r[0] for r in salvaged(b"x")] == ["gap"]
+
+
+def test_pieces_of_any_size_give_the_same_records(monkeypatch):
+    records = [warc.page_record(i, None, f"text {i} ".encode() * 50, None) for i in range(4)]
+    data = warc._member(records[0] + records[1][:-9] + records[2]) + b"?" + records[3] + warc._member(b"") + warc._member(records[1])[:-4]
+    want = salvaged(data)
+    assert [r[4] for r in want if r[0] == "record"] == ["urn:page:0", "urn:page:2", "urn:page:3", "urn:page:1"]
+    for chunk in (11, 64, 1000):
+        monkeypatch.setattr(warc, "CHUNK", chunk)
+        assert salvaged(data) == want
+
+
 def test_language_accuracy_spans_and_edges(spark, edge, none, sf_dir):
     docs = table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents")
     got = queries.language_query(spark, sf_dir.replace("sf0.001", "sf0.01")).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
