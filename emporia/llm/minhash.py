@@ -30,17 +30,18 @@ cases).
 
 Cases: a null or empty text has no shingles and is linked with nothing; a
 text under five words is one shingle; a null doc_id takes no part and is
-kept; rows with one doc_id are one document; equal texts share a class;
-an empty table gives an empty result; other columns are returned as they were.
+kept; rows with one doc_id are one document, linked through the text of any of
+them; equal texts share a class; an empty table gives an empty result; other
+columns are returned as they were.
 """
 
 from __future__ import annotations
 
 import hashlib
-import sys
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,15 +58,12 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles.
 
     ``bytes.lower`` and ``bytes.split`` are the wanted rules: A-Z only, and
-    white space of ASCII only.  Python's keyed hash is the same in all workers
-    of an application, as Spark fixes its seed.
+    white space of ASCII only.
     """
-    if sys.flags.hash_randomization:
-        raise RuntimeError("workers need one PYTHONHASHSEED; Spark sets it to 0 unless told otherwise")
     words = text.encode().lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     size = min(SHINGLE_WORDS, len(w))
     out = np.full(len(w) - size + 1, size, np.uint64)
     for j in range(size):
@@ -92,6 +90,10 @@ def _id_type(docs: DataFrame):
     return docs.schema["doc_id"].dataType.simpleString()
 
 
+def _set_id(hashes: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_id (digest of the set), sig of every document."""
 
@@ -101,7 +103,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 h = shingle_hashes(text)
                 sizes.append(len(h))
-                ids.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
+                ids.append(_set_id(h))
                 sigs.append(signature(h) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(sigs, pa.list_(pa.int32()))],
@@ -125,16 +127,20 @@ def _collisions(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, hashes of the documents in ``nodes``."""
+def full_sets(docs: DataFrame, holders: DataFrame) -> DataFrame:
+    """node, hashes of the sets of the documents in ``holders`` (holder, repeated: it has several rows), each set once."""
 
     def sets(batches):
         for batch in batches:
-            found = [shingle_hashes(t).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["node", "hashes"])
+            found = [shingle_hashes(t) for t in batch.column("text").to_pylist()]
+            nodes = [_set_id(h) for h in found]
+            arrays = [pa.array(nodes, pa.binary()), pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64())), batch.column("repeated")]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "hashes", "repeated"])
 
-    wanted = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    return wanted.mapInArrow(sets, f"node {_id_type(docs)}, hashes array<bigint>")
+    wanted = docs.select("doc_id", "text").join(holders, F.col("doc_id") == F.col("holder")).select("text", "repeated")
+    found = staged(wanted.mapInArrow(sets, "node binary, hashes array<bigint>, repeated boolean").where(F.col("node").isNotNull()), "sets")
+    once = found.where(F.col("repeated")).dropDuplicates(["node"])
+    return found.where(~F.col("repeated")).unionByName(once).drop("repeated")
 
 
 def linkable(sets: DataFrame) -> DataFrame:
@@ -240,20 +246,44 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, set_id, n_shingles, component_id, kept for every document row."""
+    """doc_id, set_id, n_shingles, component_id, kept for every document row.
+
+    A class goes by its set's digest (``node``).  Classes with texts of one
+    document are connected after the links are known.
+    """
     rows = staged(sketches(docs), "sketches")
     named = rows.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    classes = staged(named.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "classes")
+    classes = named.groupBy(F.col("set_id").alias("node")).agg(F.min("doc_id").alias("holder"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    classes = staged(classes, "classes")
     classes_of = classes.select("node", "n", "sig")
+    repeated = staged(named.groupBy("doc_id").agg(F.count("set_id").alias("_n"), F.min("set_id").alias("first"), F.max("set_id").alias("last")).where(F.col("_n") > 1), "repeated")
+
     posted = postings(classes_of).select("node").distinct()
-    sets = staged(full_sets(docs, posted), "sets")
+    holders = classes.join(posted, "node", "left_semi").select("holder").distinct()
+    again = repeated.select(F.col("doc_id").alias("holder"), F.lit(True).alias("repeated"))
+    sets = full_sets(docs, holders.join(again, "holder", "left").select("holder", F.coalesce("repeated", F.lit(False)).alias("repeated")))
     near = staged(linkable(sets), "linkable")
     members = staged(postings(classes_of.join(near, "node")), "postings")
-    labels = linked_nodes(members, sets).select(F.col("node").alias("l_node"), "label")
-    classes = classes.join(labels, F.col("node") == F.col("l_node"), "left").select(F.col("set_id").alias("c_set"), F.coalesce("label", "node").alias("component"))
-    out = rows.join(classes, F.col("set_id") == F.col("c_set"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "set_id", "n_shingles", component.alias("component_id"))
+    labels = linked_nodes(members, sets)
+
+    several = repeated.where(F.col("first") != F.col("last")).select("doc_id", F.col("first").alias("a"))
+    same = staged(named.join(several, "doc_id").select("a", F.col("set_id").alias("b")).where(F.col("a") != F.col("b")).distinct(), "same-id")
+    if not same.isEmpty():
+        labels = _relabelled(labels, same)
+
+    label = classes.select("node", "holder").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = label.groupBy("label").agg(F.min("holder").alias("component"))
+    of_set = staged(label.join(smallest, "label").select(F.col("node").alias("c_set"), "component"), "component-of-set")
+    with_component = named.join(of_set, F.col("set_id") == F.col("c_set"))
+    columns = ["doc_id", "set_id", "n_shingles"]
+    out = with_component.select(*columns, F.col("component").alias("component_id"))
+    # rows without a set: alone, or with the other rows of their document
+    bare = rows.where(F.col("set_id").isNull() & F.col("doc_id").isNotNull()).select(*columns)
+    others = named.join(bare.select("doc_id").distinct(), "doc_id", "left_semi").join(of_set, F.col("set_id") == F.col("c_set"))
+    others = others.groupBy(F.col("doc_id").alias("o_id")).agg(F.min("component").alias("component"))
+    bare = bare.join(others, F.col("doc_id") == F.col("o_id"), "left").select(*columns, F.coalesce("component", "doc_id").alias("component_id"))
+    nameless = rows.where(F.col("doc_id").isNull()).select(*columns, F.col("doc_id").alias("component_id"))
+    out = out.unionByName(bare).unionByName(nameless)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import random
 import zlib
 from collections import Counter
@@ -158,6 +159,25 @@ def test_minhash_components_equal_brute_force(spark, edge, none, sf_dir):
     assert len(minhash.near_duplicates(edge).collect()) == len(EDGE)
 
 
+def test_minhash_links_through_all_texts_of_a_document(spark):
+    one, other = PROSE, "an entirely different text about ships that sail over the wide sea at night with no wind at all"
+    third = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, one), (1, other), (1, other), (2, one + " more"), (3, other), (4, None), (4, other + " too"), (5, third), (6, ""), (7, third + " end"), (7, third + " end"), (None, one)]
+    got = minhash.near_duplicates(make(spark, [(i, t, None, None) for i, t in rows])).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6, 7: 5, None: None}
+    assert all(r.kept == (r.doc_id in (None, r.component_id)) for r in got)
+
+
+def test_shingle_hashes_do_not_depend_on_the_process():
+    import subprocess
+    import sys
+
+    code = "from emporia.llm.minhash import shingle_hashes as s; print(s('one two three four five six').tolist())"
+    runs = {subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONHASHSEED": seed}, capture_output=True, text=True, check=True).stdout for seed in ("0", "7")}
+    assert len(runs) == 1 and "[" in runs.pop()
+
+
 def test_leaks_are_found_and_clean_documents_left_alone(spark, none, sf_dir):
     bench = table(spark, sf_dir, "benchmark")
     item = max(bench.collect(), key=lambda r: len(r.text))
