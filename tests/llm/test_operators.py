@@ -400,6 +400,84 @@ def test_html_layout():
     assert "deep" in html_text.page_text("<div>" * 5000 + "deep")
 
 
+SHOWN_AND_HIDDEN = {
+    "<textarea>a &amp; b\nc</textarea>x": "a & b\nc\nx",
+    "<select><option>one<option selected>two</select> end": "two end",
+    "<select multiple><optgroup label=G><option>one<option>two</select>": "G\none\ntwo",
+    "<svg><title>no</title><text>Draw</text><text>ing</text><defs><text>no</text></defs></svg>": "Draw ing",
+    "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>": "x=1",
+    "<div style='visibility:hidden'>no<span style='visibility: visible'>yes</span></div>": "yes",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a  b\n   c\nd  e",
+    "<table><tr><td colspan=3>wide<td>z<tr><td>1<td>2<td>3<td>4</table>": "wide     z\n1  2  3  4",
+    "<table><tr style='visibility:collapse'><td>no<tr><td>yes</table>": "yes",
+    "<div>" * 300 + "<script>no</script><p>yes</p><div hidden>no<b>no</b></div><template>no</template>also<style>no</style>" + "</div>" * 300 + "after": "yes\nalso\nafter",
+}
+
+
+@pytest.mark.parametrize("page", SHOWN_AND_HIDDEN)
+def test_html_shows_all_visible_text_and_nothing_else(page):
+    assert html_text.page_text(page) == SHOWN_AND_HIDDEN[page]
+
+
+def test_html_texts_stay_in_proportion():
+    wide = "<table><tr><td>" + "w" * 20000 + "<tr><td>a<td>b" * 2000 + "</table>"
+    assert len(html_text.page_text(wide)) < 5 * len(wide)
+    spans = "<table>" + "<tr><td colspan=1000 rowspan=1000>a<td>b" * 500 + "</table>"
+    assert html_text.page_text(spans).split() == ["a", "b"] * 500
+    assert len(html_text.page_text("<div><p>a" * 20000).split()) == 20000
+
+
+def visible_characters(page):
+    """The characters, without white space, outside head, scripts, styles, templates, comments and hidden elements, by another parser."""
+    from html.parser import HTMLParser
+
+    out, void = [], set("area base br col embed hr img input link meta source track wbr".split())
+
+    class Words(HTMLParser):
+        stack = []
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            if tag not in void:
+                hidden = tag in ("head", "title", "script", "style", "template", "noscript") or "hidden" in a or "display:none" in (a.get("style") or "").replace(" ", "")
+                self.stack.append((tag, hidden))
+            elif tag == "img" and not any(h for _, h in self.stack):
+                out.extend((a.get("alt") or "").split())
+
+        def handle_endtag(self, tag):
+            for i in range(len(self.stack) - 1, -1, -1):
+                if self.stack[i][0] == tag:
+                    del self.stack[i:]
+                    break
+
+        def handle_data(self, data):
+            if not any(h for _, h in self.stack):
+                out.extend(data.split())
+
+    parser = Words()
+    parser.stack = []
+    parser.feed(page or "")
+    parser.close()
+    return Counter("".join(out))
+
+
+def test_extract_over_the_given_pages_and_edges(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    texts = {r.page_id: r for r in html_text.extract(pages).collect()}
+    rows = pages.select("page_id", "html").collect()
+    assert len(texts) == len(rows)
+    drawn = Counter()
+    for r in rows:
+        missing = visible_characters(r.html) - Counter("".join(texts[r.page_id].text.split()))
+        drawn.update(missing)
+    assert not drawn
+    odd = [(1, None, "u", "x"), (2, "", "u", "x"), (3, "<p>a" * 50000, "u", "x"), (3, "<p>a" * 50000, "u", "x"), (None, "<b>t</b>", "u", "x")]
+    frame = spark.createDataFrame(odd, "page_id long, html string, text string, n_chars string")
+    got = html_text.extract(frame).collect()
+    assert sorted((r.page_id or 0, r.n_lines, len(r.text)) for r in got) == [(0, 1, 1), (1, 0, 0), (2, 0, 0), (3, 99999, 149998), (3, 99999, 149998)]
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 def test_words_are_split_alike_by_both_ways(spark):
     texts = ["a b\nc", " a  b ", "a\tb\x0bc\x0cd\re", "", None, "x y z", "\n"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(words_of(F.col("t")).alias("w")).collect()
