@@ -18,7 +18,8 @@ last; a null or missing weight is 1, one below ``LEAST_WEIGHT`` is raised to
 it; equal keys are ordered by doc_id and size; repeated rows are rows of
 their own; a source without words has target 0; an empty table gives an empty
 result; further columns of the documents are kept out of the way and returned
-by ``mix``.
+by ``mix``, but for ones named ``_size``, ``_target`` or ``_taken`` (of an
+earlier mix), which the new ones replace.
 """
 
 from __future__ import annotations
@@ -132,4 +133,5 @@ def mix(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     )
     rows = packed(docs, _id="doc_id").withColumn("_tie", F.xxhash64("_row.text"))
     kept = rows.join(plan.where(F.col("_taken") > 0), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tie") == F.col("tie")))
-    return kept.select("_row.*", "_size", "_target", "_taken")
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("_size", "_target", "_taken")]
+    return kept.select(*own, "_size", "_target", "_taken")

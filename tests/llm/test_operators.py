@@ -79,7 +79,10 @@ def test_mix_meets_targets_and_reruns_agree(spark, edge, none, sf_dir):
         assert all(abs(taken[s] - t) <= 1 for s, t in goal.items())
         assert sorted(map(str, got)) == sorted(map(str, mixing.mixing_plan(docs, weights).collect()))
     assert mixing.mixing_plan(none).count() == 0
-    assert set(edge.columns) < set(mixing.mix(edge).columns)
+    once = mixing.mix(edge)
+    assert once.columns == [*edge.columns, "_size", "_target", "_taken"]
+    again = mixing.mix(once)
+    assert again.columns == once.columns and again.count() <= once.count()
 
 
 def base_of(text):
