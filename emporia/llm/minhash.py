@@ -128,7 +128,10 @@ def _collisions(a: Column, b: Column) -> Column:
 
 
 def full_sets(docs: DataFrame, holders: DataFrame) -> DataFrame:
-    """node, hashes of the sets of the documents in ``holders`` (holder, repeated: it has several rows), each set once."""
+    """node, hashes of the sets of the documents in ``holders`` (holder, repeated: it has several rows).
+
+    A set comes once, or twice where it is also that of a repeated document.
+    """
 
     def sets(batches):
         for batch in batches:
@@ -147,13 +150,15 @@ def linkable(sets: DataFrame) -> DataFrame:
     """node and shared (its shingles that occur in other sets too) where those are enough for a link.
 
     A shingle found once names its only node, so own shingles are counted without a join.
+    The node goes as two numbers there: the smallest of numbers needs no sorting.
     """
-    each = sets.select("node", F.explode("hashes").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.count("node").alias("n"), F.min("node").alias("node")).where(F.col("n") == 1)
-    own = alone.groupBy("node").agg(F.count("n").alias("own"))
-    sizes = sets.groupBy("node").agg(F.max(F.size("hashes")).alias("size"))
-    found = sizes.join(own, "node", "left").withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0)))
-    return found.where(100 * F.col("shared") >= SIMILARITY_PCT * F.col("size")).select("node", "shared")
+    named = sets.select("node", "hashes", F.xxhash64("node").alias("hi"), F.xxhash64(F.lit(1), "node").alias("lo"))
+    each = named.select("hi", "lo", F.explode("hashes").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("hi").alias("n"), F.min("hi").alias("hi"), F.min("lo").alias("lo")).where(F.col("n") == 1)
+    own = alone.groupBy("hi", "lo").agg(F.count("n").alias("own"))
+    sizes = named.select("node", "hi", "lo", F.size("hashes").alias("size"))
+    found = sizes.join(own, ["hi", "lo"], "left").withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0)))
+    return found.where(100 * F.col("shared") >= SIMILARITY_PCT * F.col("size")).select("node", "shared").distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:

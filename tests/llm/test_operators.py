@@ -170,6 +170,8 @@ def test_minhash_links_through_all_texts_of_a_document(spark):
     assert len(got) == len(rows)
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6, 7: 5, None: None}
     assert all(r.kept == (r.doc_id in (None, r.component_id)) for r in got)
+    got = minhash.near_duplicates(make(spark, [(i, t, None, None) for i, t in [(1, one), (5, one), (5, third), (6, third + " end")]])).collect()
+    assert {r.component_id for r in got} == {1} and len(got) == 4
 
 
 def test_shingle_hashes_do_not_depend_on_the_process():
