@@ -32,7 +32,7 @@ from startup_log
 
 _cte("dau", """
 select mid, uid, ar, ch, vc, dt, hr, '00' mi, ts from (
-  select *, row_number() over (partition by dt, mid order by ts, event_id) rn
+  select *, row_number() over (partition by dt, mid order by ts, ch nulls first, uid nulls first, ar nulls first, vc nulls first) rn
   from startup_dated where start_entry is not null) x
 where rn = 1
 """, ("startup_dated",))

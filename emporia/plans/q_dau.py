@@ -12,14 +12,13 @@ from emporia.sources import messages
 
 
 def startup_docs(w: Warehouse):
-    """Startup logs as DAU-shaped rows (with the message offset as tie-break)."""
+    """Startup logs as DAU-shaped rows."""
     lines = messages.app_log_lines(w.fx)
-    logs = ingest.route_log(ingest.decode_app_log(lines, keep=("event_id",)))
+    logs = ingest.route_log(ingest.decode_app_log(lines))
     starts = logs.where(F.col("topic") == ingest.TOPIC_STARTUP)
     return ingest.with_dt_hr(starts).select(
         F.col("common.mid").alias("mid"), F.col("common.uid").alias("uid"), F.col("common.ar").alias("ar"),
         F.col("common.ch").alias("ch"), F.col("common.vc").alias("vc"), "dt", "hr", F.lit("00").alias("mi"), "ts",
-        "event_id",
     )
 
 
@@ -101,7 +100,12 @@ def kpi_hour_zero_fill(spark, sf_dir):
     return kpi.hour_zero_fill(_hourly(Warehouse.of(spark, sf_dir)))
 
 
-@register("kpi_hour_map")
+@register("kpi_hour_map", _chain(
+    "select id, dt, count(*) n_hours, string_agg(hr || '=' || cast(cast(\"value\" as decimal(18, 2)) as varchar), ';' order by hr) as hours "
+    "from hourly group by id, dt",
+    DAU_H, ORDER_H, HOURLY))
 def kpi_hour_map(spark, sf_dir):
-    """hour -> value maps per KPI and day (rows-only check: map values)."""
-    return kpi.hour_map(_hourly(Warehouse.of(spark, sf_dir)))
+    """hour -> value maps per KPI and day, their entries written out in order (operator 38)."""
+    maps = kpi.hour_map(_hourly(Warehouse.of(spark, sf_dir)))
+    entries = F.transform(F.map_entries("hours"), lambda e: F.concat(e.key, F.lit("="), e.value.cast("decimal(18, 2)").cast("string")))
+    return maps.select("id", "dt", F.size("hours").cast("long").alias("n_hours"), F.array_join(entries, ";").alias("hours"))

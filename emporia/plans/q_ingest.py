@@ -105,12 +105,19 @@ def flt_cdc_arrayform(spark, sf_dir):
     return rows.select("topic", "table", F.get_json_object("data", "$.id").cast("long").alias("id"))
 
 
-@register("prj_to_json")
+@register("prj_to_json", with_ctes(
+    "select cast(order_id as varchar) \"key\", * exclude (sku_price, benefit_reduce_amount, original_total_amount, feight_fee, "
+    "final_total_amount, final_detail_amount), cast(sku_price as double) sku_price, "
+    "cast(benefit_reduce_amount as double) benefit_reduce_amount, cast(original_total_amount as double) original_total_amount, "
+    "cast(feight_fee as double) feight_fee, cast(final_total_amount as double) final_total_amount, "
+    "cast(final_detail_amount as double) final_detail_amount from wide", "wide"))
 def prj_to_json(spark, sf_dir):
-    """Wide rows as keyed JSON messages for the next topic (operator 14).
-    Rows-only check: the JSON text itself is engine-specific."""
+    """Wide rows as JSON messages keyed by order id for the next topic
+    (operator 14), every field read back from the text."""
     wide = Warehouse.of(spark, sf_dir).wide
-    return wide.select(F.col("order_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    msgs = wide.select(F.col("order_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    rec = msgs.select("key", jsonx.decode(F.col("value"), schemas.ORDER_WIDE).alias("r")).select("key", "r.*")
+    return orders.money_as_double(rec)
 
 
 @register("src_search_docs", with_ctes(

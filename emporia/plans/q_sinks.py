@@ -13,8 +13,8 @@ from emporia.plans.fixture_sql import with_ctes
 from emporia.plans.q_dau import startup_docs
 from emporia.plans.warehouse import Warehouse
 from emporia.session import scratch_dir
+from emporia.sinks.daily import DailyDocs
 from emporia.sinks.writers import (
-    DailyDocs,
     DimensionVersions,
     append_by_day,
     archive_text_by_day,
@@ -62,16 +62,14 @@ def snk_dim_upsert(spark, sf_dir):
 
 @register("snk_daily_docs", with_ctes("select * from dau", "dau"))
 def snk_daily_docs(spark, sf_dir):
-    """DAU documents written per day in two batches (even message offsets,
-    then all), the second replayed once; read back merged on (day, device)
-    (operator 57)."""
-    w = Warehouse.of(spark, sf_dir)
-    rows = startup_docs(w).withColumnRenamed("event_id", "_offset")
-    sink = DailyDocs(spark, scratch_dir(spark, "dau-docs"))
-    sink.write(dau_ops.first_visit(rows.where(F.col("_offset") % 2 == 0), tie="_offset", keep_tie=True), 0)
-    docs1 = dau_ops.first_visit(rows, tie="_offset", keep_tie=True)
-    sink.write(docs1, 1)
-    sink.write(docs1, 1)   # replay of batch 1: replaces, does not add
+    """DAU documents written per day in four batches by device and channel,
+    compacted after every second one, two of them replayed, before and after
+    their compaction; read back merged on (day, device) (operator 57)."""
+    rows = startup_docs(Warehouse.of(spark, sf_dir))
+    sink = DailyDocs(spark, scratch_dir(spark, "dau-docs"), compact_every=2)
+    part = F.pmod(F.xxhash64("mid", "ch"), F.lit(4))
+    for batch_id in (0, 1, 1, 2, 0, 3):
+        sink.write(dau_ops.first_visit(rows.where(part == batch_id)), batch_id)
     return sink.read()
 
 
@@ -81,7 +79,7 @@ def snk_wide_append(spark, sf_dir):
     """Wide rows appended to the day-partitioned wide table (operator 59)."""
     wide = Warehouse.of(spark, sf_dir).wide.select("order_detail_id", "order_id", "dt", "final_detail_amount", "tm_name")
     path = scratch_dir(spark, "order-wide")
-    append_by_day(wide, path)
+    append_by_day(wide, path, 0)
     back = read_day_partitioned(spark, path)
     return back.select("order_detail_id", "order_id", "dt",
                        F.col("final_detail_amount").cast("double").alias("final_detail_amount"), "tm_name")
@@ -89,11 +87,12 @@ def snk_wide_append(spark, sf_dir):
 
 @register("snk_log_archive", with_ctes("select dt, mid, ts from startup_dated", "startup_dated"))
 def snk_log_archive(spark, sf_dir):
-    """Raw log lines archived as text, one folder per day (operator 61)."""
+    """Raw log lines archived as text, one folder per day, the batch run twice (operator 61)."""
     w = Warehouse.of(spark, sf_dir)
     lines = messages.app_log_lines(w.fx)
     dated = lines.withColumn("dt", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
     path = scratch_dir(spark, "log-archive")
-    archive_text_by_day(dated, path)
+    for _ in range(2):
+        archive_text_by_day(dated, path, 0)
     back = ingest.decode_app_log(read_day_partitioned(spark, path, "text"), keep=("dt",))
     return back.select("dt", F.col("common.mid").alias("mid"), "ts")

@@ -1,9 +1,9 @@
-"""Sinks (operators 55-61): tables, daily documents, dimension versions.
+"""Sinks (operators 56, 59, 61): day tables, log archive, dimension versions.
 
-Daily documents and dimension versions are idempotent: a write replaces the
-partition it owns (``batch_id``, ``version``).  ``append_by_day`` and
-``archive_text_by_day`` append: a batch that is run again is there twice.
-Streams that must not do so go through ``streaming.commits``.
+A write replaces what it owns (a batch's folder, a version) and nothing else, so
+a batch that is run again is there once.  A day table or an archive is a folder
+a batch, ``batch_id=N/dt=D``.  The JDBC branch of ``append_by_day`` appends and
+has no such guard.  Daily documents are in ``sinks.daily``.
 """
 
 from __future__ import annotations
@@ -11,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.operators import dau as dau_ops
 from emporia.operators.dims import upsert_latest
 
 
-
 def read_day_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A ``partitionBy("dt")`` table read back with ``dt`` as ``yyyy-MM-dd``
-    text (partition discovery would infer a date)."""
+    """A day table read back, without its batch numbers and with ``dt`` as
+    ``yyyy-MM-dd`` text (partition discovery would infer a date)."""
     df = spark.read.format(fmt).load(path)
-    return df.withColumn("dt", F.col("dt").cast("string"))
+    return df.withColumn("dt", F.col("dt").cast("string")).drop("batch_id")
 
 
 def _dynamic_overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
@@ -28,43 +26,23 @@ def _dynamic_overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: s
      .partitionBy(*partition_by).format(fmt).save(path))
 
 
-def append_by_day(df: DataFrame, path: str, jdbc: dict | None = None) -> None:
-    """Append rows to a day-partitioned table (operator 59).
+def append_by_day(df: DataFrame, path: str, batch_id: int, jdbc: dict | None = None) -> None:
+    """Append a batch's rows to a day-partitioned table (operator 59).
 
-    Files: ``partitionBy("dt")`` after a ``rebalance`` on ``dt``: one shuffle
+    Files: the batch's own folder, partitioned by ``dt`` after a ``rebalance`` on ``dt``: one shuffle
     by day, after which AQE splits a day that holds a large share of the rows
     over several tasks and merges small days into one task (no sampling pass,
     so the input plan runs once).  JDBC (``jdbc={"url", "table", ...}``): the reference's
-    options - 4 writers, batch size 100, no isolation."""
+    options - batch size 100, no isolation - and as many writers as ``writers``
+    says (the input's partitions without it)."""
     if jdbc:
-        (df.repartition(jdbc.get("writers", 4)).write.mode("append").format("jdbc")
+        rows = df.repartition(jdbc["writers"]) if "writers" in jdbc else df
+        (rows.write.mode("append").format("jdbc")
          .option("url", jdbc["url"]).option("dbtable", jdbc["table"])
          .option("batchsize", jdbc.get("batchsize", 100)).option("isolationLevel", "NONE")
          .options(**jdbc.get("options", {})).save())
         return
-    df.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
-
-
-class DailyDocs:
-    """DAU documents, one "index" (partition) per day, id = device (operator 57).
-
-    Each write lands in ``dt=D/batch_id=N`` with dynamic overwrite, so a
-    replayed batch replaces its own documents.  Reading merges on (dt, mid),
-    keeping the earliest document - the document a device-keyed index would
-    hold after the first visit was indexed."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-
-    def write(self, docs: DataFrame, batch_id: int) -> None:
-        _dynamic_overwrite(docs.withColumn("batch_id", F.lit(batch_id)), self.path, ["dt", "batch_id"])
-
-    def read(self) -> DataFrame:
-        # partition discovery would type dt as a date; it is text in the docs
-        raw = read_day_partitioned(self.spark, self.path)
-        tie = "_offset" if "_offset" in raw.columns else "batch_id"
-        return dau_ops.first_visit(raw.drop("batch_id") if tie != "batch_id" else raw, tie=tie)
+    df.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
 
 
 class DimensionVersions:
@@ -90,6 +68,7 @@ class DimensionVersions:
         return base_version + 1
 
 
-def archive_text_by_day(lines: DataFrame, path: str, dt_col: str = "dt") -> None:
-    """Raw lines to text files, one folder per day (operator 61)."""
-    lines.select("value", dt_col).write.mode("append").partitionBy(dt_col).text(path)
+def archive_text_by_day(lines: DataFrame, path: str, batch_id: int, dt_col: str = "dt") -> None:
+    """A batch's raw lines to text files, one folder per day (operator 61)."""
+    day = lines.select("value", F.col(dt_col).alias("dt")).hint("rebalance", "dt")
+    day.write.mode("overwrite").partitionBy("dt").text(f"{path}/batch_id={batch_id}")

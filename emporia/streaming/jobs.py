@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from emporia import schemas
 from emporia.functions import jsonx
-from emporia.operators import dims, ingest, orders
+from emporia.operators import dau, dims, ingest, orders
 from emporia.session import scratch_dir
 from emporia.sinks.dimensions import DimTable
 from emporia.streaming import split_state
@@ -37,22 +37,19 @@ def dau_first_visit_stream(log_lines: DataFrame, lateness: str = DEFAULT_LATENES
     """First startup record per (day, device) as a streaming aggregate
     (operator 47), for ``outputMode("update")`` into a keyed sink.
 
-    ``min_by`` over (day window, mid) is partially aggregated on the map side,
+    The least record (``dau.FIRST_ORDER``) by (day window, mid) is partially aggregated on the map side,
     so a device sending a third of a batch's records is reduced per task
     before the shuffle; state is one row per (day, device), dropped when the
-    watermark closes the day.  The result is the earliest record of the day
-    (ties on ``ts`` broken by channel), independent of arrival order; a key
+    watermark closes the day.  The result is the first record of the day by
+    the batch operator's own order, independent of arrival order; a key
     re-emitted by a later batch carries the same or an earlier record, and
-    the sink keeps the earliest (``sinks.DailyDocs``)."""
+    the sink keeps the earliest (``sinks.daily``)."""
     logs = ingest.route_log(ingest.decode_app_log(log_lines))
     starts = logs.where(F.col("topic") == ingest.TOPIC_STARTUP)
     docs = ingest.dau_info(ingest.with_dt_hr(starts))
     timed = docs.withColumn("_et", F.timestamp_millis("ts")).withWatermark("_et", lateness)
-    rest = ["uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts"]
-    g = timed.groupBy(F.window("_et", "1 day").alias("_day"), "mid").agg(
-        F.min_by(F.struct(*rest), F.struct("ts", "ch")).alias("_doc")
-    )
-    return g.select("mid", *[F.col(f"_doc.{c}").alias(c) for c in rest])
+    g = timed.groupBy(F.window("_et", "1 day").alias("_day"), "dt", "mid").agg(dau.first_of_group().alias("_doc"))
+    return g.select("dt", "mid", *[F.col(f"_doc.{c}").alias(c) for c in dau.FIRST_ORDER])
 
 
 # ---- order / line join ------------------------------------------------------

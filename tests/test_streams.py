@@ -211,7 +211,7 @@ DAY = 1704067200000  # 2024-01-01 00:00:00 UTC
 
 
 def test_dau_aggregate_stream_keeps_earliest_record_when_it_arrives_later(spark):
-    from emporia.sinks.writers import DailyDocs
+    from emporia.sinks.daily import DailyDocs
 
     topics = TopicStore(spark)
     _publish(spark, topics, "L", [_log("m1", DAY + 600_000, "late"), _log("m2", DAY + 5_000)])
@@ -252,7 +252,7 @@ def test_rows_of_one_day_read_one_folder(spark):
     from emporia.sinks.writers import append_by_day, read_day_partitioned
 
     path = scratch_dir(spark, "t-days")
-    append_by_day(spark.range(300).select("id", F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string")).alias("dt")), path)
+    append_by_day(spark.range(300).select("id", F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string")).alias("dt")), path, 0)
     day = read_day_partitioned(spark, path).where("dt = '2024-01-02'")
     assert day.count() == 100
     assert {f.split("dt=")[1].split("/")[0] for f in day.inputFiles()} >= {"2024-01-02"}
