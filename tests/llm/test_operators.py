@@ -397,6 +397,50 @@ def test_chat_links_orders_and_validates(spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+def test_chat_keeps_every_field_and_reports_the_rest(spark):
+    call = {"content": {"parts": [1, "x"]}, "role": "assistant", "turn": 9, "depends_on": "c0", "model": "m", "tool_calls": [
+        {"id": "c1", "type": "function", "function": {"name": "search", "arguments": {"query": "x"}, "strict": True}}, "stray", {"id": "c2", "name": "search", "arguments": "no json"}]}
+    answer = {"tool_call_id": "c1", "content": {"b": 1, "a": None}, "is_error": False}
+    rows = [(1, 0, "assistant", json.dumps(call)), (1, 1, "tool", json.dumps(answer)), (1, 1, "tool", json.dumps(answer)), (1, 2, "assistant", json.dumps({"tool_calls": {"id": "c3"}})), (1, 3, "tool", json.dumps({"tool_call_id": "c2", "content": "long " * 400000}))]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("turn").collect()
+    assert len(got) == 5 and got[1] == got[2]
+    first = {"content": call["content"], "conv_id": 1, "depends_on": "c0", "model": "m", "role": "assistant", "tool_calls": [
+        {"arguments": {"query": "x"}, "function": {"strict": True}, "id": "c1", "name": "search", "type": "function"}, "stray", {"arguments": "no json", "id": "c2", "name": "search"}], "turn": 0}
+    assert got[0].message == json.dumps(first, separators=(",", ":"), sort_keys=True)
+    assert got[0].n_calls == 2 and got[0].errors == "depends_on is no list; turn differs; entry 1 is no call; c2: arguments are no object"
+    assert got[1].message == json.dumps({**answer, "conv_id": 1, "role": "tool", "turn": 1}, separators=(",", ":"), sort_keys=True) and got[1].errors == ""
+    assert got[3].errors == "tool_calls is no list" and json.loads(got[3].message)["content"] == rows[3][3] and got[3].n_calls == 0
+    assert json.loads(got[4].message)["content"] == "long " * 400000
+
+
+def test_chat_places_equal_brute_force(spark, monkeypatch):
+    import random
+
+    rng, edges = random.Random(9), {(99, t, t + 1) for t in range(999)}  # a chain that is written backwards
+    for conv in range(12):
+        edges |= {(conv, rng.randrange(14), rng.randrange(14)) for _ in range(rng.randrange(1, 14))}
+    edges |= {(50, t, t - 1) for t in range(1, 9)}
+
+    def brute(conv):
+        needs = {}
+        for c, t, n in edges:
+            if c == conv:
+                needs.setdefault(t, set()).add(n)
+                needs.setdefault(n, set())
+        places = {}
+        while ready := [t for t in needs if t not in places and needs[t] <= places.keys()]:
+            for t in ready:
+                places[t] = max([(t, 0), *((places[n][0], places[n][1] + 1) for n in needs[t])])
+        return {(conv, t): places.get(t) for t in needs}
+
+    writes, staged = [], chat.staged
+    monkeypatch.setattr(chat, "staged", lambda df, name: writes.append(name) or staged(df, name))
+    found = chat._places(spark.createDataFrame(sorted(edges), "conv_id long, turn long, need long")).collect()
+    want = {k: v for conv in {c for c, _, _ in edges} for k, v in brute(conv).items()}
+    assert {(r.conv_id, r.turn): r.place and tuple(r.place) for r in found} == want and None in want.values()
+    assert writes.count("needs") <= 12
+
+
 def test_html_layout():
     page = "<html><head><title>T</title><style>p{}</style></head><body><h1>Head</h1><p>One <b>two</b><p>Three &amp; four<ul><li>a<li>b<ol><li>c</ol></ul><table><tr><th>Name<th>N<tr><td>x<td>10</table><div hidden>no</div><span style='display: none'>no</span><pre>a\n  b</pre>end<!-- no --><script>no</script>"
     want = "Head\n\nOne two\n\nThree & four\n\n* a\n* b\n\n  1. c\n\nName  N\nx     10\n\na\n  b\n\nend"
