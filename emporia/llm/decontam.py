@@ -3,10 +3,12 @@
 Each benchmark item has a 64-bit SimHash of its weighted 5-word shingles, and
 one of its plain shingles where that differs.
 Documents are read in windows of the items' own lengths; a window's
-fingerprint is looked up in a multi-index: both fingerprints are cut into
-``BLOCKS`` blocks, and two that differ in at most ``RADIUS`` bits differ in at
-most ``RADIUS // BLOCKS`` bits of one block, so listing every item under all
-block values that near finds every fingerprint within the radius.  Candidates
+fingerprint is looked up in the multi-index of the items of that length: both
+fingerprints are cut into ``BLOCKS`` blocks, and two that differ in at most
+``RADIUS`` bits differ in at most ``RADIUS // BLOCKS`` bits of one block.  Each
+block lists the fingerprints under their value there; those listed under a
+value that near in any block are all within the radius, and some more, which a
+count of all their bits puts aside.  Candidates
 are verified by Jaccard similarity of the shingles' multisets, weighted or
 plain, whichever is larger.  A shingle weighs 1 / (number of items that hold
 it), so that wording shared by many items counts less; a foreign shingle
@@ -19,11 +21,13 @@ so fingerprints are made only for windows around such shingles.  Windows of
 radius of 23 loses about 6 in 100,000 of those by the binomial estimate (one
 of 40,000 simulated; 19 lost 136), and fewer of nearer ones.
 
-Items are broadcast in blocks of ``ITEMS_PER_BLOCK`` (and at most
-``BLOCK_CHARS`` characters), each block run against all documents.  Holders are
+Items are broadcast in blocks of at most ``BLOCK_CHARS`` characters (one item
+may be longer), about 20,000 items of 200 characters; the documents are read
+once a block, so once for any benchmark up to that size.  An item takes some
+bytes of index and its shingles, whatever the radius.  Holders are
 counted over the whole benchmark first, and the counts of all shingles held
-twice or more (16 bytes each) go with every block, so that the blocks' limits
-don't change the result.  Nothing that grows with the documents leaves the
+twice or more (16 bytes each) go with every block, so that the blocks' limit
+doesn't change the result.  Nothing that grows with the documents leaves the
 executors.
 
 Cases: null or empty texts match nothing; items of under five words are one
@@ -48,18 +52,19 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from emporia.llm.common import SHINGLE_WORDS, SIMILARITY_PCT, packed
 
 BITS = 64
 BLOCKS = 4
 RADIUS = 23
-ITEMS_PER_BLOCK = 1000
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 4 << 20
 WEIGHT_ONE = 1 << 32  # the weight 1 in votes
 _BLOCK_BITS = BITS // BLOCKS
 
-MATCH = "item_id long, similarity double, start long, n_words long"
+MATCH = "item_id {}, similarity double, start long, n_words long"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -85,13 +90,6 @@ def _packed(votes: np.ndarray) -> np.ndarray:
     return np.packbits(votes > 0, axis=-1).view(">u2").astype(np.uint16)
 
 
-def _near_masks() -> np.ndarray:
-    """All values of one block with at most RADIUS // BLOCKS bits."""
-    every = np.arange(1 << _BLOCK_BITS, dtype=np.uint32)
-    ones = np.unpackbits(every.astype(">u2").view(np.uint8).reshape(-1, 2), axis=1).sum(axis=1)
-    return every[ones <= RADIUS // BLOCKS].astype(np.uint16)
-
-
 _ONES = np.unpackbits(np.arange(1 << 16, dtype=">u2").view(np.uint8).reshape(-1, 2), axis=1).sum(axis=1).astype(np.uint8)
 
 
@@ -107,7 +105,7 @@ class ItemIndex:
     benchmark hold, and how many hold each; without it the block is the benchmark.
     """
 
-    def __init__(self, items: list[tuple[int, str]], shared: tuple[np.ndarray, np.ndarray] | None = None):
+    def __init__(self, items: list[tuple], shared: tuple[np.ndarray, np.ndarray] | None = None):
         self.ids = [i for i, _ in items]
         words = [words_of(t) for _, t in items]
         self.lengths = [len(w) for w in words]
@@ -124,14 +122,7 @@ class ItemIndex:
         self.vocabulary = {w for ws in words for w in ws}
         self.short_sizes = sorted({k for k in self.sizes if k < SHINGLE_WORDS})
         self.prints, self.owner = self._prints()
-        masks = _near_masks()
-        self.order, self.starts = [], []
-        for b in range(BLOCKS):
-            near = (self.prints[:, b, None] ^ masks).ravel()
-            by_value = np.argsort(near, kind="stable")
-            by_value //= len(masks)
-            self.order.append(by_value.astype(np.min_scalar_type(len(self.prints))))
-            self.starts.append(np.concatenate([[0], np.cumsum(np.bincount(near, minlength=1 << _BLOCK_BITS))]))
+        self.by_length = self._multi_index()
 
     def weights(self, hashes: np.ndarray) -> np.ndarray:
         out = np.ones(len(hashes))
@@ -150,16 +141,32 @@ class ItemIndex:
         other = np.flatnonzero((weighted != plain).any(axis=1))
         return np.vstack([weighted, plain[other]]), np.concatenate([np.arange(len(weighted)), other])
 
+    def _multi_index(self) -> dict[int, tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+        """For each item length its fingerprints, and for each block the values there, how many have each, and which, by value."""
+        lengths, out = np.array(self.lengths, np.int64)[self.owner], {}
+        for length in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == length)
+            blocks = []
+            for b in range(BLOCKS):
+                values, counts = np.unique(self.prints[rows, b], return_counts=True)
+                blocks.append((values, counts, np.argsort(self.prints[rows, b], kind="stable")))
+            out[length] = rows, blocks
+        return out
+
     def _both_votes(self, units: list[bytes], times: np.ndarray | int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Weighted and plain votes of each shingle, as integers, so that sums don't depend on their order."""
         hashes = _hashes(units)
         plain = _spread(hashes) * np.reshape(times, (-1, 1))
         return plain * np.rint(self.weights(hashes) * WEIGHT_ONE).astype(np.int64)[:, None], plain
 
-    def candidates(self, fingerprint: np.ndarray) -> np.ndarray:
-        """Fingerprints that differ in at most RADIUS bits, as rows of ``prints`` and ``owner``."""
-        lists = [self.order[b][self.starts[b][v] : self.starts[b][v + 1]] for b, v in enumerate(fingerprint.tolist())]
-        found = np.unique(np.concatenate(lists))
+    def candidates(self, fingerprint: np.ndarray, length: int) -> np.ndarray:
+        """Fingerprints of items that long that differ in at most RADIUS bits, as rows of ``prints`` and ``owner``."""
+        rows, blocks = self.by_length[length]
+        listed = np.zeros(len(rows), bool)
+        for value, (values, counts, by_value) in zip(fingerprint, blocks):
+            near = _ONES[values ^ value] <= RADIUS // BLOCKS
+            listed[by_value[np.repeat(near, counts)]] = True
+        found = rows[listed]
         return found[_ONES[self.prints[found] ^ fingerprint].sum(axis=1, dtype=np.int64) <= RADIUS]
 
     def similarity(self, item: int, window: Counter) -> float:
@@ -186,7 +193,7 @@ class ItemIndex:
                 out[size] = at
         return out
 
-    def matches(self, text: str | None) -> Iterator[tuple[int, float, int, int]]:
+    def matches(self, text: str | None) -> Iterator[tuple]:
         """(item_id, similarity, first word, words) of each item's best window in a text."""
         words = words_of(text)
         best: dict[int, tuple[float, int, int]] = {}
@@ -215,10 +222,10 @@ class ItemIndex:
             weighted, plain = (_packed(x[per:] - x[:-per]) for x in sums)
             differ = (weighted != plain).any(axis=1)
             for o in range(len(stretch)):
-                near = self.candidates(weighted[o])
+                near = self.candidates(weighted[o], length)
                 if differ[o]:
-                    near = np.concatenate([near, self.candidates(plain[o])])
-                found = [i for i in np.unique(self.owner[near]).tolist() if self.lengths[i] == length]
+                    near = np.concatenate([near, self.candidates(plain[o], length)])
+                found = np.unique(self.owner[near]).tolist()
                 if not found:
                     continue
                 window = Counter(units[o : o + per])
@@ -249,11 +256,11 @@ def shared_shingles(benchmark: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], counts[order]
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
     """The benchmark in blocks of bounded size, read a partition at a time."""
     block, chars = [], 0
     for r in _items(benchmark).toLocalIterator():
-        if block and (len(block) >= ITEMS_PER_BLOCK or chars + len(r.text) > BLOCK_CHARS):
+        if block and chars + len(r.text) > BLOCK_CHARS:
             yield block
             block, chars = [], 0
         block.append((r.item_id, r.text))
@@ -262,10 +269,14 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def _against(docs: DataFrame, items: list[tuple[int, str]], holders: Broadcast) -> DataFrame:
+def _schema(docs: DataFrame, benchmark: DataFrame) -> str:
+    id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    return f"doc_id {id_type}, _tie long, {MATCH.format(item_type)}"
+
+
+def _against(docs: DataFrame, items: list[tuple], holders: Broadcast, schema: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    kinds = [f.type for f in to_arrow_schema(T.StructType.fromDDL(schema))][2:]
 
     def search(batches):
         index = ItemIndex(shared.value, holders.value)
@@ -279,16 +290,16 @@ def _against(docs: DataFrame, items: list[tuple[int, str]], holders: Broadcast)
             own = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "_tie")]
             yield pa.RecordBatch.from_arrays([*own, *columns], names=["doc_id", "_tie", "item_id", "similarity", "start", "n_words"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("_tie"), "text").mapInArrow(search, f"doc_id {id_type}, _tie long, {MATCH}")
+    return docs.select("doc_id", F.xxhash64("text").alias("_tie"), "text").mapInArrow(search, schema)
 
 
 def _tied_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``leaks`` with _tie, the hash of the document's text."""
     holders = docs.sparkSession.sparkContext.broadcast(shared_shingles(benchmark))
-    parts = [_against(docs, block, holders) for block in item_blocks(benchmark)]
+    schema = _schema(docs, benchmark)
+    parts = [_against(docs, block, holders, schema) for block in item_blocks(benchmark)]
     if not parts:
-        id_type = docs.schema["doc_id"].dataType.simpleString()
-        return docs.sparkSession.createDataFrame([], f"doc_id {id_type}, _tie long, {MATCH}")
+        return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionAll, parts)
 
 

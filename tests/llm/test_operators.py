@@ -234,8 +234,8 @@ def test_blocks_of_items_do_not_change_the_leaks(spark, sf_dir, monkeypatch):
     rows = lambda: sorted(map(tuple, decontam.leaks(docs, items).collect()))
     whole = rows()
     assert len(whole) > 50
-    for size in (3, 1):
-        monkeypatch.setattr(decontam, "ITEMS_PER_BLOCK", size)
+    for size in (1000, 1):
+        monkeypatch.setattr(decontam, "BLOCK_CHARS", size)
         assert rows() == whole
 
 
@@ -269,13 +269,51 @@ def test_multi_index_finds_all_within_the_radius():
     import numpy as np
 
     rng = np.random.default_rng(1)
-    index = decontam.ItemIndex([(i, f"word{i} " * 3 + "and some more words to follow") for i in range(50)])
+    index = decontam.ItemIndex([(i, f"word{i} " * (3 + i % 3) + "and some more words to follow") for i in range(50)])
     for _ in range(200):
-        probe = index.prints[rng.integers(50)].copy()
+        own = rng.integers(50)
+        probe = index.prints[own].copy()
         for bit in rng.choice(64, rng.integers(0, 24), replace=False):
             probe[bit // 16] ^= np.uint16(1 << (bit % 16))
         ones = [sum(bin(int(x)).count("1") for x in row ^ probe) for row in index.prints]
-        assert sorted(index.candidates(probe).tolist()) == [i for i, n in enumerate(ones) if n <= decontam.RADIUS]
+        for length in (9, 10, 11):
+            want = [k for k, n in enumerate(ones) if n <= decontam.RADIUS and index.lengths[index.owner[k]] == length]
+            assert sorted(index.candidates(probe, length).tolist()) == want
+    assert index.candidates(index.prints[7], index.lengths[7]).size
+
+
+def test_matches_equal_every_window_by_brute_force():
+    import random
+
+    rng = random.Random(4)
+    items = [[f"w{rng.randrange(400)}" for _ in range(n)] for n in (12, 12, 30, 45, 45, 7, 3)] + [["w1"] * 20]
+    index = decontam.ItemIndex([(i, " ".join(w)) for i, w in enumerate(items)])
+    seen = 0
+    for _ in range(60):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(0, 60))]
+        for item in rng.choices(items, k=3):
+            part = item[rng.randrange(3):]
+            if rng.random() < 0.5:
+                part = [*part[:5], "changed", *part[6:]]
+            words += part * rng.randrange(1, 3) + ["between"]
+        coded, best = [w.encode() for w in words], {}
+        for i, item in enumerate(items):
+            wide, size = min(len(item), len(words)), index.sizes[i]
+            for start in range(len(words) - wide + 1):
+                similarity = index.similarity(i, Counter(decontam.shingles(coded[start : start + wide], size)))
+                if similarity >= 0.75 and similarity > best.get(i, (0,))[0]:
+                    best[i] = (similarity, start, wide)
+        assert list(index.matches(" ".join(words))) == [(i, *best[i]) for i in sorted(best)]
+        seen += len(best)
+    assert seen > 60
+
+
+def test_leaks_read_the_documents_once_for_many_items_of_any_id_type(spark):
+    bench = spark.range(5000).selectExpr("concat('item-', id) item_id", "concat_ws(' ', transform(sequence(1, 30), k -> concat('b', id, 'x', k))) text")
+    docs = make(spark, [(1, "before " + " ".join(f"b4321x{k}" for k in range(1, 31)), "en", "a"), (2, PROSE, "en", "a"), (3, "long " * 300000, "en", "a")])
+    found = decontam.leaks(docs, bench)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [(r.doc_id, r.item_id, r.similarity, r.start) for r in found.collect()] == [(1, "item-4321", 1.0, 1)]
 
 
 def test_warc_round_trip_and_salvage(spark, tmp_path):
