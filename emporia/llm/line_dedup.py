@@ -5,10 +5,13 @@ Keys of at least ``MIN_CHARS`` characters found in at least ``MIN_DOCS``
 documents keep their lines only in the largest doc_id that holds them.
 
 Lines travel as 128-bit hashes, never as text.  The hashes are range
-partitioned with the document (largest first) and position as secondary sort,
-so that a key's first occurrence in the stream is its owner.  A hot key's rows
-run on over several range partitions: each partition reduces its stretch of
-the stream to one row a key, and only these rows meet.  The marked lines come
+partitioned with the document (largest first) and position as secondary sort and
+stored as that stream.  Within each partition a running comparison tells of
+every line whether it stands in the key's first document there, and how many
+documents follow.  A hot key's rows run on over several partitions; only the
+keys at the partitions' edges can, at most two a partition, and what is known of
+them over the whole stream is broadcast.  No join is keyed by a line's hash, and no
+task gets more of a key than its range partition holds.  The marked lines come
 back as one run-length coded bitmap a document.
 
 Cases: a null or empty text is one empty line; a document without an id takes
@@ -19,7 +22,7 @@ returned as they were.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.llm.common import WHITESPACE, let, packed, staged
@@ -46,17 +49,31 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     return keys.select("doc_id", "tie", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(MIN_CHARS), F.col("key")).alias("h2"))
 
 
-def owners(lines: DataFrame, min_docs: int) -> DataFrame:
-    """h1, h2, owner of every key found in ``min_docs`` documents or more.
+def sorted_stream(lines: DataFrame) -> DataFrame:
+    """The lines by key, largest doc_id first, then position, stored with the range partition (part) they stand in.
 
-    Range partitioning keeps a (key, doc_id) pair together but lets a hot key
-    run on over several partitions; the first step reads the sorted stream
-    within its partition, the second merges one row a key and partition.
+    A (key, doc_id) pair stands in one partition; a key may run on over several.
     """
     stream = lines.repartitionByRange("h1", "h2", F.desc("doc_id")).sortWithinPartitions("h1", "h2", F.desc("doc_id"), "pos")
-    per_doc = stream.groupBy("h1", "h2", "doc_id").agg(F.first("pos").alias("first_pos"))
-    per_key = per_doc.groupBy("h1", "h2").agg(F.max("doc_id").alias("owner"), F.count("first_pos").alias("n_docs"))
-    return per_key.where(F.col("n_docs") >= min_docs).select("h1", "h2", "owner")
+    return staged(stream.select("*", F.spark_partition_id().alias("part")), "line-stream")
+
+
+def edge_keys(stream: DataFrame) -> DataFrame:
+    """h1, h2, edge_owner, edge_docs over the whole stream of the first and last key of each partition: two rows a partition at most."""
+    ends = stream.groupBy("part").agg(F.min(F.struct("h1", "h2")).alias("a"), F.max(F.struct("h1", "h2")).alias("b"))
+    keys = ends.select(F.explode(F.array("a", "b")).alias("key")).select("key.*").distinct()
+    pairs = stream.join(F.broadcast(keys), ["h1", "h2"], "left_semi").select("h1", "h2", "doc_id").distinct()
+    return pairs.groupBy("h1", "h2").agg(F.max("doc_id").alias("edge_owner"), F.count("doc_id").alias("edge_docs"))
+
+
+def repeated_lines(stream: DataFrame, min_docs: int) -> DataFrame:
+    """doc_id, tie, pos of the lines to be dropped: of keys in ``min_docs`` documents or more, outside the first document."""
+    stretch = Window.partitionBy("part", "h1", "h2")
+    running = stretch.orderBy(F.desc("doc_id"))
+    rows = stream.withColumn("nth", F.dense_rank().over(running)).withColumn("n_docs", F.max("nth").over(stretch))
+    rows = rows.join(F.broadcast(edge_keys(stream)), ["h1", "h2"], "left")
+    first = F.when(F.col("edge_owner").isNull(), F.col("nth") == 1).otherwise(F.col("doc_id") == F.col("edge_owner"))
+    return rows.where(~first & (F.coalesce("edge_docs", "n_docs") >= min_docs)).select("doc_id", "tie", "pos")
 
 
 def _runs(dropped: Column) -> Column:
@@ -68,8 +85,7 @@ def _runs(dropped: Column) -> Column:
 
 def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, tie, runs: the lines to be dropped of every document that loses some, as runs (start, length)."""
-    lines = staged(line_hashes(docs, min_chars), "line-hashes")
-    marked = lines.join(owners(lines, min_docs), ["h1", "h2"]).where(F.col("doc_id") != F.col("owner"))
+    marked = repeated_lines(sorted_stream(line_hashes(docs, min_chars)), min_docs)
     each = marked.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     return each.select("doc_id", "tie", let(F.col("dropped"), _runs).alias("runs"))
 

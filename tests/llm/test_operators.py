@@ -125,6 +125,35 @@ def test_line_dedup_keeps_the_largest_holder(spark, edge, none):
     assert line_dedup.without_repeated_lines(none).count() == 0
 
 
+def test_line_dedup_equals_brute_force_where_keys_run_over_partitions(spark):
+    import random
+
+    rng = random.Random(6)
+    hot = "a line that every third document of the corpus holds"
+    pool = [hot] * 6 + [f"a shared line with the number {k} in it" for k in range(12)] + ["short"]
+    texts = {i: "\n".join(rng.choice(pool) if rng.random() < 0.8 else f"an own line of document {i} {rng.random()}" for _ in range(rng.randrange(1, 9))) for i in range(300)}
+    holders = {}
+    for i, t in texts.items():
+        for line in t.split("\n"):
+            holders.setdefault(line, set()).add(i)
+    gone = lambda line, i: len(line) >= 20 and len(holders[line]) >= 3 and max(holders[line]) != i
+    want = {i: "\n".join(x for x in t.split("\n") if not gone(x, i)) for i, t in texts.items()}
+    docs = make(spark, [(i, t, "en", "a") for i, t in texts.items()])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in ("1", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            stream = line_dedup.sorted_stream(line_dedup.line_hashes(docs, 20))
+            over = stream.groupBy("h1", "h2").agg(F.count_distinct("part").alias("n")).agg(F.max("n")).first()[0]
+            assert over == 1 if n == "1" else over > 3
+            assert line_dedup.edge_keys(stream).count() <= 2 * int(n)
+            assert {r.doc_id: r.text for r in line_dedup.without_repeated_lines(docs).collect()} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def brute_components(texts):
     sets = {}
     for i, t in texts.items():
