@@ -11,12 +11,19 @@ is their share of the letters.
 
 Training takes about ``TRAIN_DOCS`` documents of each language at most, chosen
 by a hash of the id; prediction covers every word of every text.  Paths of
-many documents are computed together, word by word, in numpy.
+many documents are computed together, word by word, in numpy.  A text longer
+than a slice (``TEXT_CELLS`` characters x languages) is read slice by slice,
+twice: blocks of its words are taken together, first for the best value from
+each language before a block to each at its end, which joined in order give the
+languages between the blocks, then for the path between those.  That is a best
+path of the whole text; what stays in memory between slices is some numbers a
+block.
 
 Cases: a null text and one without letters are ``und`` with score 0; without
 any labelled document everything is ``und``; a word in a script that no
 language uses scores alike for all; ties go to the language first in order;
-very long texts are scored in slices and keep one path; repeated rows are
+of equally good paths one is taken; slices end between words (a run of letters longer than a
+slice counts as several words); repeated rows are
 predicted alike; empty tables give an empty result; other columns are ignored.
 """
 
@@ -38,7 +45,10 @@ SWITCH_PENALTY = 12.0
 SCRIPT_SHARE = 0.005      # a language uses a script from this share of its letters on
 FORBIDDEN = -1e6
 UNKNOWN = "und"
-GROUP_CELLS = 1 << 20     # words (padded) of the documents whose paths are computed together
+GROUP_CELLS = 1 << 22     # words (padded) x languages of the documents whose paths are computed together
+TEXT_CELLS = 1 << 22      # characters x languages that are scored together
+LEARN_CHARS = 1 << 20     # characters that are counted together when learning
+BLOCK_WORDS = 256         # words of a block of a long text
 
 # fixed values: Unicode ranges of scripts; letters outside them are script 1, "other"
 SCRIPTS = {
@@ -86,6 +96,7 @@ class Words:
         self.lengths = ends - self.starts
         ends_of_text = np.cumsum([len((t or "").lower()) + 1 for t in texts])
         self.text = np.searchsorted(ends_of_text, self.starts, side="right")
+        self.at = self.starts - np.concatenate([[0], ends_of_text])[self.text]  # within the lower-cased text
         # the grams end at a word's letters and at the gap after it; what lies before the word counts as one gap
         at = np.repeat(self.starts, self.lengths + 1) + _ramp(self.lengths + 1)
         first = np.repeat(self.starts, self.lengths + 1)
@@ -99,7 +110,7 @@ class Words:
         self.grams = (hashed % np.uint64(GRAM_BUCKETS)).astype(np.int32)
         self.gram_starts = np.concatenate([[0], np.cumsum(self.lengths + 1)])[:-1].astype(np.int64)
         self.scripts = scripts[self.starts] if len(self.starts) else np.zeros(0, np.uint8)
-        self.letter_scripts, self.letter_text = scripts[letter], np.searchsorted(ends_of_text, np.flatnonzero(letter), side="right")
+        self.letter_scripts = scripts[letter]
 
 
 def _ramp(lengths: np.ndarray) -> np.ndarray:
@@ -128,15 +139,18 @@ class Model:
         return np.add.reduceat(self.logs[words.grams], words.gram_starts, axis=0) + self.bars[words.scripts]
 
 
-def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
+def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PENALTY, enter: np.ndarray | None = None, leave: np.ndarray | None = None) -> np.ndarray:
     """The languages along each text's best path, for texts of similar length.
 
-    ``scores``: texts x words (padded) x languages; ``lengths``: words of each text.
+    ``scores``: texts x words (padded) x languages; ``lengths``: words of each text;
+    ``enter``, ``leave``: the language before each text and the one it ends with, where they are given.
     """
     n, steps, langs = scores.shape
     came = np.zeros((steps, n, langs), np.int16)
     value = scores[:, 0].astype(np.float64)
     own = np.arange(langs, dtype=np.int16)
+    if enter is not None:
+        value -= np.where(own == enter[:, None], 0.0, penalty)
     for t in range(1, steps):
         top = value.argmax(axis=1)
         switched = value[np.arange(n), top][:, None] - penalty
@@ -144,7 +158,7 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_
         came[t] = np.where(stay, own, top[:, None].astype(np.int16))
         value = np.where((t < lengths)[:, None], np.where(stay, value, switched) + scores[:, t], value)
     path = np.zeros((n, steps), np.int16)
-    state = value.argmax(axis=1).astype(np.int16)
+    state = value.argmax(axis=1).astype(np.int16) if leave is None else leave
     for t in range(steps - 1, -1, -1):
         inside = t < lengths
         path[:, t] = state
@@ -162,7 +176,7 @@ def _paths(words: Words, scores: np.ndarray, n_texts: int) -> np.ndarray:
     order = order[counts[order] > 0]
     while len(order):
         longest = int(counts[order[-1]])
-        take = max(1, min(len(order), GROUP_CELLS // max(1, longest)))
+        take = max(1, min(len(order), GROUP_CELLS // (longest * scores.shape[1])))
         group, order = order[-take:], order[:-take]
         lengths = counts[group]
         at = np.repeat(first[group], lengths) + _ramp(lengths)
@@ -173,46 +187,131 @@ def _paths(words: Words, scores: np.ndarray, n_texts: int) -> np.ndarray:
     return out
 
 
-def _pieces(texts: list[str | None], chars: int = 1 << 21):
-    """Runs of texts of bounded size together; a longer text stands alone."""
-    run, size = [], 0
-    for t in texts:
-        if run and size + len(t or "") > chars:
-            yield run
-            run, size = [], 0
-        run.append(t)
-        size += len(t or "")
-    if run:
-        yield run
-
-
-def predict_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
-    out = []
+def _slices(text: str, chars: int):
+    """The text in pieces of at most ``chars`` characters, cut after a character that is no letter where there is one."""
+    scripts, a = script_table(), 0
+    while len(text) - a > chars:
+        b = a + chars
+        while b > a and scripts[ord(text[b - 1])]:
+            b -= 1
+        b = a + chars if b == a else b
+        yield text[a:b]
+        a = b
+    yield text[a:]
+
+
+def _pieces(texts: list[str], chars: int):
+    """Runs (first, last + 1) of texts of at most ``chars`` characters together; a longer text stands alone."""
+    first, size = 0, 0
+    for k, t in enumerate(texts):
+        if k > first and size + len(t) > chars:
+            yield first, k
+            first, size = k, 0
+        size += len(t)
+    if texts:
+        yield first, len(texts)
+
+
+def _blocks(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words' scores as blocks x words (padded) x languages, and the words of each block."""
+    n = -(-len(scores) // BLOCK_WORDS)
+    grid = np.zeros((n * BLOCK_WORDS, scores.shape[1]), np.float32)
+    grid[: len(scores)] = scores
+    lengths = np.full(n, BLOCK_WORDS)
+    lengths[-1] = len(scores) - (n - 1) * BLOCK_WORDS
+    return grid.reshape(n, BLOCK_WORDS, -1), lengths
+
+
+def _block_values(grid: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
+    """Blocks x languages before x languages at the end: the value of the best path between them."""
+    value = np.where(np.eye(grid.shape[2], dtype=bool), 0.0, -penalty) + grid[:, 0][:, None]
+    for t in range(1, grid.shape[1]):
+        further = np.maximum(value, value.max(axis=2, keepdims=True) - penalty) + grid[:, t][:, None]
+        value = np.where((t < lengths)[:, None, None], further, value)
+    return value
+
+
+def long_paths(model: Model, text: str, chars: int):
+    """(characters, words, language of each word) of every slice of a text, along one best path of the whole."""
+    value, came = np.zeros(len(model.languages)), []
+    for piece in _slices(text, chars):
+        words = Words([piece])
+        if not len(words.starts):
+            came.append(np.zeros((0, len(value)), np.int16))
+            continue
+        steps = _block_values(*_blocks(model.scores(words)), SWITCH_PENALTY)
+        best = np.zeros(steps.shape[::2], np.int16)
+        for b, step in enumerate(steps):
+            through = value[:, None] + step
+            best[b], value = through.argmax(axis=0), through.max(axis=0)
+        came.append(best)
+    state, between = int(value.argmax()), []
+    for best in reversed(came):
+        states = np.zeros(len(best) + 1, np.int16)
+        states[-1] = state
+        for b in range(len(best) - 1, -1, -1):
+            states[b] = state = int(best[b, state])
+        between.append(states)
+    for piece, states in zip(_slices(text, chars), reversed(between)):
+        words = Words([piece])
+        if len(words.starts):
+            grid, lengths = _blocks(model.scores(words))
+            yield len(piece.lower()), words, best_paths(grid, lengths, SWITCH_PENALTY, states[:-1], states[1:]).reshape(-1)[: len(words.starts)]
+        else:
+            yield len(piece.lower()), words, np.zeros(0, np.int16)
+
+
+def _spans_of(words: Words, path: np.ndarray):
+    """(text number, start, end, language number) of each run of words of one text and language."""
+    cuts = np.flatnonzero((np.diff(path) != 0) | (np.diff(words.text) != 0)) + 1
+    a, b = np.concatenate([[0], cuts]).astype(np.int64), np.concatenate([cuts, [len(path)]]).astype(np.int64) - 1
+    return zip(words.text[a].tolist(), words.at[a].tolist(), (words.at[b] + words.lengths[b]).tolist(), path[a].tolist())
+
+
+def label_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
+    """Language, score and spans (start, end, language; in characters of the lower-cased text) of each text."""
     langs = len(model.languages)
-    for run in _pieces(texts):
-        words = Words(run)
-        if not langs or not len(words.starts):
-            out += [(UNKNOWN, 0.0)] * len(run)
+    letters = np.zeros((len(texts), langs), np.int64)
+    spans: list[list] = [[] for _ in texts]
+    chars = max(1 << 12, TEXT_CELLS // max(1, langs))
+    short = [i for i, t in enumerate(texts) if t and len(t) <= chars and langs]
+    for a, b in _pieces([texts[i] for i in short], chars):
+        run = short[a:b]
+        words = Words([texts[i] for i in run])
+        if not len(words.starts):
             continue
         path = _paths(words, model.scores(words), len(run))
-        letters = np.bincount(words.text * langs + path, weights=words.lengths, minlength=len(run) * langs).reshape(len(run), langs)
-        for row in letters:
-            best, total = int(row.argmax()), row.sum()
-            out.append((model.languages[best], float(row[best] / total)) if total else (UNKNOWN, 0.0))
+        letters[run] = np.bincount(words.text * langs + path, weights=words.lengths, minlength=len(run) * langs).reshape(len(run), langs)
+        for k, start, end, lang in _spans_of(words, path):
+            spans[run[k]].append((start, end, model.languages[lang]))
+    for i, text in enumerate(texts):
+        if not langs or not text or len(text) <= chars:
+            continue
+        before = 0
+        for size, words, path in long_paths(model, text, chars):
+            letters[i] += np.bincount(path, weights=words.lengths, minlength=langs).astype(np.int64)
+            for _, start, end, lang in _spans_of(words, path) if len(path) else ():
+                name = model.languages[lang]
+                if spans[i] and spans[i][-1][2] == name:
+                    spans[i][-1] = (spans[i][-1][0], before + end, name)
+                else:
+                    spans[i].append((before + start, before + end, name))
+            before += size
+    out = []
+    for row, own in zip(letters, spans):
+        total = int(row.sum())
+        best = int(row.argmax()) if total else 0
+        out.append((model.languages[best], float(row[best] / total), own) if total else (UNKNOWN, 0.0, own))
     return out
 
 
+def predict_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
+    return [found[:2] for found in label_texts(model, texts)]
+
+
 def spans(model: Model, text: str) -> list[tuple[int, int, str]]:
     """(start, end, language) of a text's spans, in characters of the lower-cased text."""
-    words = Words([text])
-    if not model.languages or not len(words.starts):
-        return []
-    path = _paths(words, model.scores(words), 1)
-    cuts = np.flatnonzero(np.diff(path)) + 1
-    out = []
-    for a, b in zip([0, *cuts], [*cuts, len(path)]):
-        out.append((int(words.starts[a]), int(words.starts[b - 1] + words.lengths[b - 1]), model.languages[path[a]]))
-    return out
+    return label_texts(model, [text])[0][2]
 
 
 def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
@@ -232,8 +331,9 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
             langs = np.array(batch.column("lang").to_pylist(), object)
             texts = batch.column("text").to_pylist()
             for lang in set(langs.tolist()):
-                for run in _pieces([texts[i] for i in np.flatnonzero(langs == lang)]):
-                    words = Words(run)
+                own = [piece for i in np.flatnonzero(langs == lang) for piece in _slices(texts[i], LEARN_CHARS)]
+                for a, b in _pieces(own, LEARN_CHARS):
+                    words = Words(own[a:b])
                     sums[lang][:GRAM_BUCKETS] += np.bincount(words.grams, minlength=GRAM_BUCKETS)
                     sums[lang][GRAM_BUCKETS:] += np.bincount(words.letter_scripts, minlength=N_SCRIPTS)
         for lang, s in sums.items():
@@ -248,16 +348,19 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score of every whole text; only the text is looked at."""
+    """doc_id, lang_pred, score, spans (in characters of the lower-cased text) of every whole text; only the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())]))
 
     def label(batches):
         for batch in batches:
-            found = predict_texts(shared.value, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
+            found = label_texts(shared.value, batch.column("text").to_pylist())
+            own = [[{"start": a, "stop": b, "lang": x} for a, b, x in f[2]] for f in found]
+            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(own, span)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "lang_pred", "score", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(label, f"doc_id {id_type}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(label, f"doc_id {id_type}, lang_pred string, score double, spans array<struct<start: long, stop: long, lang: string>>")
 
 
 def held_out(doc_id):

@@ -131,7 +131,7 @@ def language_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     found = langid.predict(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
 
 
 @_query("op9_chat_format")

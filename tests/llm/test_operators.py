@@ -435,6 +435,63 @@ def test_language_accuracy_spans_and_edges(spark, edge, none, sf_dir):
     assert langid.predict(none, model).count() == 0
 
 
+def test_long_texts_in_slices_have_a_best_path_of_the_whole(spark, sf_dir, monkeypatch):
+    import random
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs)
+    by_lang = {}
+    for r in docs.where("lang is not null and length(text) > 200").collect():
+        by_lang.setdefault(r.lang, []).append(r.text)
+    rng = random.Random(2)
+    texts = ["\n".join(t[: rng.randrange(20, 900)] for t in rng.choices([t for ts in by_lang.values() for t in ts], k=12)) for _ in range(6)]
+    texts += [None, "", "12 34 " * 5000, "x" * 20000, " ".join(by_lang["de"][:3])]
+
+    def value(text, spans):
+        words = langid.Words([text])
+        lang = {a: x for a, _, x in spans}
+        path, now = [], None
+        for at in words.at.tolist():
+            now = lang.get(at, now)
+            path.append(model.languages.index(now))
+        scores = model.scores(words)
+        return sum(scores[k, p] for k, p in enumerate(path)) - langid.SWITCH_PENALTY * sum(a != b for a, b in zip(path, path[1:]))
+
+    whole = langid.label_texts(model, texts)
+    monkeypatch.setattr(langid, "TEXT_CELLS", 0)
+    monkeypatch.setattr(langid, "BLOCK_WORDS", 7)
+    sliced = langid.label_texts(model, texts)
+    assert max(len(t or "") for t in texts[:6]) > 4096 and sum(len(s) > 2 for _, _, s in whole) >= 3
+    for text, a, b in zip(texts, whole, sliced):
+        assert a[0] == b[0]
+        if text and not text.startswith("xx"):
+            assert a[1] == pytest.approx(b[1], abs=0.01) and value(text, a[2]) == pytest.approx(value(text, b[2]), abs=0.1)
+    assert "".join(langid._slices("x" * 10000 + " y", 4096)) == "x" * 10000 + " y"
+
+
+def test_word_scores_equal_brute_force(spark, sf_dir):
+    import math
+
+    model = langid.learn(table(spark, sf_dir, "documents"))
+    words = langid.Words(["Two words", None, "mot\u0436 a"])
+    assert words.text.tolist() == [0, 0, 2, 2] and words.at.tolist() == [0, 4, 0, 5] and words.lengths.tolist() == [3, 5, 4, 1]
+
+    def gram(points):
+        h = 0
+        for p in points:
+            h = ((h ^ p) * 0x9E3779B97F4A7C15) % 2**64
+            h ^= h >> 32
+        return h % langid.GRAM_BUCKETS
+
+    for k, word in enumerate(["two", "words", "mot\u0436", "a"]):
+        points = [32] * (langid.GRAM - 1) + [ord(c) for c in word] + [32]
+        grams = [gram(points[i : i + langid.GRAM][::-1]) for i in range(len(word) + 1)]
+        grams[-1] = gram([32, *points[-langid.GRAM : -1][::-1]])
+        bars = model.bars[langid.script_table()[ord(word[0])]]
+        want = model.logs[grams].sum(axis=0) + bars
+        assert model.scores(words)[k].tolist() == pytest.approx(want.tolist(), rel=1e-4) and not math.isnan(want[0])
+
+
 def test_best_path_equals_brute_force():
     import itertools
 
