@@ -29,3 +29,24 @@ def test_a_record_is_parsed_once_however_many_fields_it_has(spark):
     assert _parses(rows.select("r.*")) == 1
     got = {(r.r and (r.r.id, r.r.order_id, str(r.r.order_price), r.r.sku_name, r.r.sku_num)) for r in rows.collect()}
     assert got == {(7, 8, "1.50", "a", None), (None, None, "None", None, None), None}
+
+
+def test_a_slice_reads_its_range_of_the_stage(spark, monkeypatch):
+    topics, plans = TopicStore(spark), []
+    write = TopicStore.write_batch
+    monkeypatch.setattr(TopicStore, "write_batch", lambda self, df, *a, **kw: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df, *a, **kw)))
+    df = spark.range(6000).select(F.col("id").cast("string").alias("value"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("t"))
+    topics.publish_in_slices(df, "R", F.col("t"), 6)
+    assert len(plans) == 6 and all("GreaterThan(_t" in p or "LessThanOrEqual(_t" in p for p in plans)
+    assert sorted(int(r.value) for r in topics.read_batch("R").collect()) == list(range(6000))
+
+
+def test_file_topics_are_compressed(spark):
+    topics = TopicStore(spark)
+    rows = spark.range(5000).select(F.format_string('{"order_detail_id":%d,"sku_name":"a long enough name"}', "id").alias("value"))
+    topics.write_batch(rows, "C", files=1)
+    topics.write_batch(rows.withColumn("topic", F.lit("D")))
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(topics.root) for f in fs if f.startswith("part-")]
+    text = 5000 * len('{"order_detail_id":1234,"sku_name":"a long enough name"}')
+    assert sum(sizes) < text  # half of what the two topics hold as plain text
+    assert topics.read_batch("C").count() == 5000 and spark.read.text(f"{topics.root}/topic=D").count() == 5000
