@@ -31,6 +31,17 @@ def test_a_record_is_parsed_once_however_many_fields_it_has(spark):
     assert got == {(7, 8, "1.50", "a", None), (None, None, "None", None, None), None}
 
 
+def test_a_change_envelope_is_parsed_once_by_the_filter(spark):
+    path = scratch_dir(spark, "t-cdc")
+    texts = [json.dumps({"table": "user_info", "type": t, "data": {"id": i}}) for i, t in enumerate(("insert", "delete", "bootstrap-insert"))]
+    spark.createDataFrame([(t,) for t in [*texts, "no json", None]], "value string").write.parquet(path)
+    decoded = ingest.decode_cdc_row(spark.read.parquet(path))
+    assert decoded.columns == ["table", "type", "data"] and decoded.count() == 5
+    kept = ingest.cdc_rowform_filter(decoded)
+    assert _parses(kept) == 1
+    assert sorted(r.data for r in kept.collect()) == ['{"id":0}', '{"id":2}']
+
+
 def test_a_slice_reads_its_range_of_the_stage(spark, monkeypatch):
     topics, plans = TopicStore(spark), []
     write = TopicStore.write_batch
