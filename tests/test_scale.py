@@ -61,3 +61,8 @@ def test_file_topics_are_compressed(spark):
     text = 5000 * len('{"order_detail_id":1234,"sku_name":"a long enough name"}')
     assert sum(sizes) < text  # half of what the two topics hold as plain text
     assert topics.read_batch("C").count() == 5000 and spark.read.text(f"{topics.root}/topic=D").count() == 5000
+
+
+def test_only_orders_that_use_their_last_line_carry_its_order(spark, sf_dir):
+    plan = Fixtures(spark, sf_dir, store=False).order_info._jdf.queryExecution().optimizedPlan().toString()
+    assert "= 6) THEN" in plan.split("max_by(")[1].split(" AS last")[0]
