@@ -66,3 +66,7 @@ def test_file_topics_are_compressed(spark):
 def test_only_orders_that_use_their_last_line_carry_its_order(spark, sf_dir):
     plan = Fixtures(spark, sf_dir, store=False).order_info._jdf.queryExecution().optimizedPlan().toString()
     assert "= 6) THEN" in plan.split("max_by(")[1].split(" AS last")[0]
+
+
+def test_split_state_takes_many_orders_in_one_call():
+    assert split_state.PAGE >= 1024
