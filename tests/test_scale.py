@@ -14,7 +14,7 @@ from emporia.operators import ingest
 from emporia.session import scratch_dir
 from emporia.sources.fixtures import Fixtures
 from emporia.sources.topics import TopicStore
-from emporia.streaming import split_state
+from emporia.streaming import jobs, split_state
 
 
 def _parses(df) -> int:
@@ -70,3 +70,31 @@ def test_only_orders_that_use_their_last_line_carry_its_order(spark, sf_dir):
 
 def test_split_state_takes_many_orders_in_one_call():
     assert split_state.PAGE >= 1024
+
+
+def _files_by_offset(topics, topic):
+    return [len(topics.spark.read.text(f"{topics.path(topic)}/offset={i}").inputFiles()) for i in range(topics.end_offset(topic))]
+
+
+def test_a_slice_is_written_without_a_shuffle_into_its_number_of_files(spark, monkeypatch):
+    topics, plans = TopicStore(spark), []
+    write = TopicStore.write_batch
+    monkeypatch.setattr(TopicStore, "write_batch", lambda self, df, *a, **kw: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df, *a, **kw)))
+    # each stage file has a stretch of time of its own: a slice lies in few of them
+    df = spark.range(0, 8000, 1, 4).select(F.col("id").cast("string").alias("value"), F.col("id").alias("t"))
+    topics.publish_in_slices(df, "F", F.col("t"), 4, rows_per_file=600)
+    assert len(plans) == 4 and not any("Exchange" in p for p in plans)
+    assert _files_by_offset(topics, "F") == [topics.slice_files["F"]] * 4 == [4] * 4
+    seen = []
+    jobs.run_available(topics.read_stream("F").writeStream.foreachBatch(lambda b, i: seen.append(b.agg(F.min(F.col("value").cast("long")), F.count("value")).first())), "t-files", spark)
+    assert [r[1] for r in seen] == [len(range(*c)) for c in zip([r[0] for r in seen], [*[r[0] for r in seen[1:]], 8000])] and len(seen) == 4
+
+
+def test_texts_made_of_staged_columns_and_copies_of_a_slice_follow_each_other(spark):
+    topics = TopicStore(spark)
+    df = spark.range(0, 900, 1, 3).select("id", F.when(F.col("id") % 10 > 0, F.col("id")).alias("v"))
+    topics.publish_in_slices(df, "C2", F.col("id"), 3, copies=2, value=F.to_json(F.struct("id", "v")))
+    slices = [sorted(json.loads(r.value)["id"] for r in spark.read.text(f"{topics.path('C2')}/offset={i}").collect()) for i in range(6)]
+    assert slices[0] == slices[1] and slices[2] == slices[3] and slices[4] == slices[5]
+    assert sorted(slices[0] + slices[2] + slices[4]) == list(range(900))
+    assert sorted(r.value for r in topics.read_batch("C2").collect())[:2] == ['{"id":0}'] * 2
