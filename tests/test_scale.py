@@ -5,12 +5,14 @@ from __future__ import annotations
 
 import json
 import os
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from emporia import schemas
 from emporia.functions import jsonx
 from emporia.operators import ingest
+from emporia.plans import q_streams
 from emporia.session import scratch_dir
 from emporia.sources.fixtures import Fixtures
 from emporia.sources.topics import TopicStore
@@ -98,3 +100,11 @@ def test_texts_made_of_staged_columns_and_copies_of_a_slice_follow_each_other(sp
     assert slices[0] == slices[1] and slices[2] == slices[3] and slices[4] == slices[5]
     assert sorted(slices[0] + slices[2] + slices[4]) == list(range(900))
     assert sorted(r.value for r in topics.read_batch("C2").collect())[:2] == ['{"id":0}'] * 2
+
+
+def test_orders_and_lines_are_cut_at_the_same_times(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(TopicStore, "publish_in_slices", lambda self, df, topic, *a, **kw: (calls.append((topic, kw)), [1.0, 2.0])[1])
+    frame = spark.createDataFrame([(1, "2024-01-01 10:00:00")], "id long, create_time string")
+    q_streams._publish_orders_details(spark, SimpleNamespace(order_info=frame, order_detail=frame), detail_copies=2)
+    assert calls == [("DWD_ORDER_DETAIL", {"copies": 2}), ("DWD_ORDER_INFO", {"cuts": [1.0, 2.0]})]
