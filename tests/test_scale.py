@@ -102,6 +102,21 @@ def test_texts_made_of_staged_columns_and_copies_of_a_slice_follow_each_other(sp
     assert sorted(r.value for r in topics.read_batch("C2").collect())[:2] == ['{"id":0}'] * 2
 
 
+def test_a_stream_has_few_state_partitions_and_leaves_the_session_as_it_was(spark):
+    topics, key = TopicStore(spark), "spark.sql.shuffle.partitions"
+    topics.write_batch(spark.createDataFrame([("a",), ("b",)], "value string"), "P", files=1)
+    old = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        counts = topics.read_stream("P").groupBy("value").count()
+        ckpt = jobs.run_available(counts.writeStream.outputMode("update").format("parquet").foreachBatch(lambda b, i: b.count()), "t-parts", spark)
+        assert spark.conf.get(key) == "200"
+    finally:
+        spark.conf.set(key, old)
+    meta = json.loads(spark.read.text(f"{ckpt}/offsets/0").collect()[1].value)
+    assert int(meta["conf"][key]) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_orders_and_lines_are_cut_at_the_same_times(spark, monkeypatch):
     calls = []
     monkeypatch.setattr(TopicStore, "publish_in_slices", lambda self, df, topic, *a, **kw: (calls.append((topic, kw)), [1.0, 2.0])[1])
