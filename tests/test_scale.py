@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from emporia import schemas
 from emporia.functions import jsonx
-from emporia.operators import ingest
+from emporia.operators import ingest, orders
 from emporia.plans import q_streams
 from emporia.session import scratch_dir
 from emporia.sources.fixtures import Fixtures
 from emporia.sources.topics import TopicStore
 from emporia.streaming import jobs, split_state
+from emporia.streaming.commits import BatchCommits
 
 
 def _parses(df) -> int:
@@ -123,3 +124,10 @@ def test_orders_and_lines_are_cut_at_the_same_times(spark, monkeypatch):
     frame = spark.createDataFrame([(1, "2024-01-01 10:00:00")], "id long, create_time string")
     q_streams._publish_orders_details(spark, SimpleNamespace(order_info=frame, order_detail=frame), detail_copies=2)
     assert calls == [("DWD_ORDER_DETAIL", {"copies": 2}), ("DWD_ORDER_INFO", {"cuts": [1.0, 2.0]})]
+
+
+def test_the_wide_topic_is_compressed(spark, tmp_path):
+    wide = spark.range(2000).select(*[F.lit(1).alias(c) if c != "order_id" else F.col("id").alias(c) for c in orders.ORDER_WIDE_COLUMNS])
+    BatchCommits(spark, str(tmp_path)).write(wide, 0, jobs.dws_outputs())
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(tmp_path / "DWS_ORDER_WIDE") for f in fs if f.startswith("part-")]
+    assert 0 < sum(sizes) < 2000 * 100
