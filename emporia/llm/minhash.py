@@ -19,14 +19,21 @@ So documents that a long passage or a common origin makes alike, but not alike
 enough, are hardly ever paired.
 
 Only the linked components are wanted, so a list needn't be turned into all
-of its pairs.  Its members are first paired with one center, for a few rounds
-with another center, leaving out what is in the center's component already.
-The members of lists that still span several components are joined exactly:
-two sets of that similarity share one of each one's rarest shingles (a
-quarter of the larger's, a seventh of the smaller's), not too far down in
-either's order.  Then no link is left but what the signature loses (a pair at
-similarity 0.75 fails to agree on 12 of 32 coordinates in about 2 of 1,000,000
-cases).
+of its pairs.  Its members are first paired with one center, the member whose
+lists are the longest, then with the first member so found outside the
+center's component.  The members of lists that still span several components
+are joined exactly, by what sets them apart from a center: near copies have
+nearly all of their shingles in common, so any two of them share rare ones,
+but few lack or add the same ones.  Two sets differ in as many shingles as
+their differences from any third set do; so of two linked sets both are
+linked with the center, or their differences share an element, not too far
+down in either's order, rarest first.  Nobody within the center's component is
+paired with another of it, and who is outside first meets, by each element,
+only the one in it that is nearest to the center.  Members that don't resemble the center get another
+one, for a few rounds; those that resemble none are joined by their rarest
+shingles (a quarter of the larger's, a seventh of the smaller's).  Then no
+link is left but what the signature loses (a pair at similarity 0.75 fails to
+agree on 12 of 32 coordinates in about 2 of 1,000,000 cases).
 
 Cases: a null or empty text has no shingles and is linked with nothing; a
 text under five words is one shingle; a null doc_id takes no part and is
@@ -38,6 +45,7 @@ columns are returned as they were.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +58,7 @@ from emporia.llm.common import SHINGLE_WORDS, SIMILARITY_PCT, packed, staged
 COORDINATES = 32
 MATCHES = 12
 CENTER_ROUNDS = 2
+PIVOT_ROUNDS = 3
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -114,13 +123,17 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """key and the class's columns (node, sig, ...): the prefix of every class's posting lists, rarest first."""
+    """key, weight and the class's columns (node, sig, ...): the prefix of every class's posting lists, rarest first.
+
+    ``weight`` is high for a class whose lists are long, one that resembles many others.
+    """
     all_lists = classes.select("node", F.posexplode("sig").alias("coordinate", "value"))
     all_lists = all_lists.select("node", F.xxhash64("coordinate", "value").alias("key"))
     lengths = all_lists.groupBy("key").agg(F.count("node").alias("length")).where(F.col("length") > 1)
     useful = all_lists.join(lengths, "key").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("length", "key"))).alias("lists"))
-    prefix = useful.where(F.size("lists") >= MATCHES).select("node", F.explode(F.slice("lists", 1, F.size("lists") - (MATCHES - 1))).alias("list"))
-    return prefix.select("node", "list.key").join(classes, "node")
+    weight = F.aggregate("lists", F.lit(0.0), lambda s, x: s + F.log(x["length"]))
+    prefix = useful.where(F.size("lists") >= MATCHES).select("node", weight.alias("weight"), F.explode(F.slice("lists", 1, F.size("lists") - (MATCHES - 1))).alias("list"))
+    return prefix.select("node", "weight", "list.key").join(classes, "node")
 
 
 def _collisions(a: Column, b: Column) -> Column:
@@ -226,25 +239,103 @@ def rare_pairs(sets: DataFrame) -> DataFrame:
     return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
+def centers(members: DataFrame) -> DataFrame:
+    """key and its center (a, na, shared_a, sa, la, wa): the member of the greatest weight."""
+    center = F.struct(*[F.col(c).alias(to) for c, to in (("node", "a"), ("n", "na"), ("shared", "shared_a"), ("sig", "sa"), ("label", "la"), ("weight", "wa"))])
+    return members.groupBy("key").agg(F.min_by(center, F.struct(-F.col("weight"), F.col("node"))).alias("c")).select("key", "c.*")
+
+
+def _still_open(members: DataFrame) -> DataFrame:
+    """The members of lists that span several components."""
+    open_ = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
+    return staged(members.join(open_, "key", "left_semi"), "open-lists")
+
+
+def common_centers(members: DataFrame) -> DataFrame:
+    """key and a center that several lists have: the heaviest one that the list's own center resembles and shares a list with."""
+    columns = ["a", "na", "sa", "la", "wa"]
+    own = staged(centers(members).select("key", *columns), "centers")
+    met = members.join(own.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("key", "node", "weight", "sig").join(own, "key")
+    heavier = met.where((F.col("wa") > F.col("weight")) & (_collisions(F.col("sa"), F.col("sig")) >= MATCHES))
+    heavier = heavier.groupBy(F.col("node").alias("h")).agg(F.max_by(F.struct(*columns), F.struct("wa", "a")).alias("far"))
+    return own.join(heavier, F.col("a") == F.col("h"), "left").select("key", *[F.coalesce(F.col(f"far.{c}"), F.col(c)).alias(c) for c in columns])
+
+
+def difference_pairs(met: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of different labels that may be linked, one of them near a center that both have met.
+
+    ``met`` has a row (a, na, la, node, n, label, near) for a node and a center ``a``
+    of label ``la``; ``sets`` has each node once.  Sets of n and m shingles whose
+    differences from the center have d and e elements, o of them in common, differ
+    in d + e - 2o, which for a link is at most 1/7 of n + m.  If d + e is no more
+    than that, each one is linked with the center, and only those links are returned.
+    With ``nearest``, a node is paired by each element with the one node of the
+    center's component that has it and differs least from the center.
+    """
+    center = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
+    apart = met.join(sets.select("node", "hashes"), "node").join(center, "a")
+    apart = apart.withColumn("apart", F.concat(F.array_except("hashes", "ha"), F.array_except("ha", "hashes"))).drop("hashes", "ha")
+    apart = staged(apart.withColumn("d", F.size("apart")), "apart")
+    star = apart.where((F.col("label") != F.col("la")) & ((100 + SIMILARITY_PCT) * F.col("d") <= (100 - SIMILARITY_PCT) * (F.col("n") + F.col("na"))))
+    star = star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+
+    each = apart.select("a", "la", "node", "label", "n", "near", "d", F.explode("apart").alias("shingle"))
+    counts = each.groupBy("a", "shingle").agg(F.count("node").alias("found"))
+    order = each.join(counts, ["a", "shingle"]).groupBy("a", "la", "node", "label", "n", "near", "d").agg(F.sort_array(F.collect_list(F.struct("found", "shingle"))).alias("order"))
+    reach = F.floor(F.col("n") * (100 - SIMILARITY_PCT) / SIMILARITY_PCT).cast("int") + 1
+    prefix = order.select("a", "la", "node", "label", "n", "near", "d", F.posexplode(F.slice("order", F.lit(1), reach)).alias("place", "s"))
+    prefix = staged(prefix.where(F.col("s.found") > 1).select("a", "la", "node", "label", "n", "near", "d", "place", "s.shingle"), "differences")
+    other = prefix.where(F.col("label") != F.col("la"))
+    if nearest:
+        columns = ["node", "label", "n", "near", "d", "place"]
+        found = prefix.where(F.col("label") == F.col("la")).groupBy("a", "la", "shingle")
+        prefix = found.agg(F.min_by(F.struct(*columns), F.struct("d", "node")).alias("least")).select("a", "la", "shingle", "least.*")
+    other = other.select("a", "shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "near", "d", "place")])
+    n, d, left = F.col("x_n") + F.col("n"), F.col("x_d") + F.col("d"), F.least(F.col("x_d") - F.col("x_place"), F.col("d") - F.col("place"))
+    missing = (100 + SIMILARITY_PCT) * d - (100 - SIMILARITY_PCT) * n
+    both = other.join(prefix, ["a", "shingle"]).where(
+        (F.col("x_label") != F.col("label")) & (F.col("x_near") | F.col("near")) & ((F.col("label") == F.col("la")) | (F.col("x_node") > F.col("node")))
+        & (100 * F.least("x_n", "n") >= SIMILARITY_PCT * F.greatest("x_n", "n")) & (missing > 0) & (2 * (100 + SIMILARITY_PCT) * left >= missing)
+    )
+    return both.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).unionByName(star).distinct()
+
+
+def pairs_left(here: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b) that connect all components of the open lists ``here`` that a link connects; with ``nearest``, a few of them."""
+    sets = staged(sets.join(here.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "open-sets")
+    found = []
+    for _ in range(PIVOT_ROUNDS):
+        with_center = here.join(common_centers(here), "key").withColumn("near", _collisions(F.col("sa"), F.col("sig")) >= MATCHES)
+        met = with_center.select("a", "na", "la", "node", "n", "label", "near").distinct()
+        found.append(difference_pairs(met, sets, nearest))
+        if nearest:
+            break
+        here = _still_open(with_center.where(~F.col("near")).select(here.columns))
+        if here.isEmpty():
+            break
+    else:
+        found.append(rare_pairs(sets.join(here.groupBy("node", "label").agg(F.first("sig").alias("sig")), "node")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, label over all confirmed links of the posting lists' members."""
     labels = None
-    for step in range(CENTER_ROUNDS + 1):
+    for step in range(CENTER_ROUNDS + 2):
         here = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         if step:
-            open_ = here.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
-            here = staged(here.join(open_, "key", "left_semi"), "open-lists")
+            here = _still_open(here)
             if here.isEmpty():
                 break
         if step < CENTER_ROUNDS:
-            order = F.col("node") if not step else F.xxhash64(F.lit(step), "key", "node")
-            center = here.groupBy("key").agg(F.min_by(F.struct(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shared").alias("shared_a"), F.col("sig").alias("sa"), F.col("label").alias("la")), order).alias("c")).select("key", "c.*")
-            pairs = here.join(center, "key")
+            # after the first round, the center comes from outside the first one's component
+            rest = here if not step else here.join(centers(here).select("key", "la"), "key").where(F.col("label") != F.col("la"))
+            pairs = here.join(centers(rest), "key")
             alike = (100 + SIMILARITY_PCT) * F.least("n", "na", "shared_a", "shared") >= SIMILARITY_PCT * (F.col("na") + F.col("n"))
             pairs = pairs.where((F.col("la") != F.col("label")) & alike & (_collisions(F.col("sa"), F.col("sig")) >= MATCHES))
             pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         else:
-            pairs = rare_pairs(sets.join(here.groupBy("node", "label").agg(F.first("sig").alias("sig")), "node"))
+            pairs = pairs_left(here, sets, nearest=step == CENTER_ROUNDS)
         edges = staged(confirmed(pairs, sets), "edges")
         labels = _relabelled(labels, edges)
     return labels

@@ -191,6 +191,35 @@ def test_minhash_components_equal_brute_force(spark, edge, none, sf_dir):
     assert len(minhash.near_duplicates(edge).collect()) == len(EDGE)
 
 
+def test_near_copies_below_the_similarity_are_not_paired_with_all(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(5000)]
+    passage, texts = rng.choices(words, k=12), {}
+    for family, copies in enumerate((300, 40)):
+        base = rng.choices(words, k=130)
+        for i in range(copies):  # 2 to 6 words changed: most links are with the least changed copies, many copies have none
+            t = list(base)
+            for place in rng.sample(range(len(t)), rng.randint(2, 6)):
+                t[place] = rng.choice(words)
+            texts[1000 * family + i] = " ".join(passage + t)
+    texts |= {5000 + i: " ".join(passage + rng.choices(words, k=rng.randint(3, 30))) for i in range(40)}
+    want, candidates, check = brute_components(texts), [], minhash.confirmed
+
+    def confirmed(pairs, sets):
+        candidates.append(pairs.count())
+        return check(pairs, sets)
+
+    monkeypatch.setattr(minhash, "confirmed", confirmed)
+    docs = make(spark, [(i, t, None, None) for i, t in texts.items()])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    assert got == want and len({c for _, c in want.values()}) > 100
+    assert candidates[-1] <= 4 * len(texts)
+    # the exact step alone, with one center a list and the rest by rare shingles
+    monkeypatch.setattr(minhash, "CENTER_ROUNDS", 0)
+    monkeypatch.setattr(minhash, "PIVOT_ROUNDS", 1)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()} == want
+
+
 def test_minhash_links_through_all_texts_of_a_document(spark):
     one, other = PROSE, "an entirely different text about ships that sail over the wide sea at night with no wind at all"
     third = " ".join(f"word{i}" for i in range(40))
