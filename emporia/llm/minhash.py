@@ -122,8 +122,8 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {_id_type(docs)}, n_shingles long, set_id binary, sig array<int>")
 
 
-def postings(classes: DataFrame) -> DataFrame:
-    """key, weight and the class's columns (node, sig, ...): the prefix of every class's posting lists, rarest first.
+def prefixes(classes: DataFrame) -> DataFrame:
+    """node, weight, key: the prefix of every class's posting lists, rarest first.
 
     ``weight`` is high for a class whose lists are long, one that resembles many others.
     """
@@ -133,7 +133,12 @@ def postings(classes: DataFrame) -> DataFrame:
     useful = all_lists.join(lengths, "key").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("length", "key"))).alias("lists"))
     weight = F.aggregate("lists", F.lit(0.0), lambda s, x: s + F.log(x["length"]))
     prefix = useful.where(F.size("lists") >= MATCHES).select("node", weight.alias("weight"), F.explode(F.slice("lists", 1, F.size("lists") - (MATCHES - 1))).alias("list"))
-    return prefix.select("node", "weight", "list.key").join(classes, "node")
+    return prefix.select("node", "weight", "list.key")
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    """The prefixes with the class's columns (node, sig, ...)."""
+    return prefixes(classes).join(classes, "node")
 
 
 def _collisions(a: Column, b: Column) -> Column:
@@ -305,7 +310,9 @@ def pairs_left(here: DataFrame, sets: DataFrame, nearest: bool) -> DataFrame:
     sets = staged(sets.join(here.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "open-sets")
     found = []
     for _ in range(PIVOT_ROUNDS):
-        with_center = here.join(common_centers(here), "key").withColumn("near", _collisions(F.col("sa"), F.col("sig")) >= MATCHES)
+        # used for the pairs and for what is left of the lists
+        chosen = staged(common_centers(here), "common-centers")
+        with_center = here.join(chosen, "key").withColumn("near", _collisions(F.col("sa"), F.col("sig")) >= MATCHES)
         met = with_center.select("a", "na", "la", "node", "n", "label", "near").distinct()
         found.append(difference_pairs(met, sets, nearest))
         if nearest:
@@ -327,6 +334,8 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
             here = _still_open(here)
             if here.isEmpty():
                 break
+            # components only grow: a list within one stays so
+            members = here.drop("label")
         if step < CENTER_ROUNDS:
             # after the first round, the center comes from outside the first one's component
             rest = here if not step else here.join(centers(here).select("key", "la"), "key").where(F.col("label") != F.col("la"))
@@ -337,7 +346,8 @@ def linked_nodes(members: DataFrame, sets: DataFrame) -> DataFrame:
         else:
             pairs = pairs_left(here, sets, nearest=step == CENTER_ROUNDS)
         edges = staged(confirmed(pairs, sets), "edges")
-        labels = _relabelled(labels, edges)
+        if labels is None or not edges.isEmpty():
+            labels = _relabelled(labels, edges)
     return labels
 
 
@@ -354,7 +364,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes_of = classes.select("node", "n", "sig")
     repeated = staged(named.groupBy("doc_id").agg(F.count("set_id").alias("_n"), F.min("set_id").alias("first"), F.max("set_id").alias("last")).where(F.col("_n") > 1), "repeated")
 
-    posted = postings(classes_of).select("node").distinct()
+    posted = prefixes(classes_of).select("node").distinct()
     holders = classes.join(posted, "node", "left_semi").select("holder").distinct()
     again = repeated.select(F.col("doc_id").alias("holder"), F.lit(True).alias("repeated"))
     sets = full_sets(docs, holders.join(again, "holder", "left").select("holder", F.coalesce("repeated", F.lit(False)).alias("repeated")))

@@ -220,6 +220,33 @@ def test_near_copies_below_the_similarity_are_not_paired_with_all(spark, monkeyp
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()} == want
 
 
+def test_minhash_rounds_do_no_work_twice(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(2000)]
+    base, texts = rng.choices(words, k=100), {}
+    for i in range(60):  # many copies have no link, so the last step finds none
+        t = list(base)
+        for place in rng.sample(range(100), rng.randint(1, 6)):
+            t[place] = rng.choice(words)
+        texts[i] = " ".join(t)
+    names, empty, relabel, write = [], [], minhash._relabelled, minhash.staged
+
+    def relabelled(labels, edges):
+        empty.append(labels is not None and edges.isEmpty())
+        return relabel(labels, edges)
+
+    def staged(df, name):
+        names.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "_relabelled", relabelled)
+    monkeypatch.setattr(minhash, "staged", staged)
+    got = minhash.near_duplicates(make(spark, [(i, t, None, None) for i, t in texts.items()])).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+    assert names.count("edges") > len(empty) and not any(empty)  # components are not made anew without a link
+    assert names.count("common-centers") == names.count("centers") > 0  # the centers of a round are made once
+
+
 def test_minhash_links_through_all_texts_of_a_document(spark):
     one, other = PROSE, "an entirely different text about ships that sail over the wide sea at night with no wind at all"
     third = " ".join(f"word{i}" for i in range(40))
