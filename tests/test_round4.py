@@ -2,9 +2,50 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from emporia import schemas
+from emporia.functions import jsonx
+from emporia.session import scratch_dir
+from emporia.streaming import jobs, split_state
+
+
+def _parses(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+def _texts(spark, texts):
+    path = scratch_dir(spark, "t-texts")
+    spark.createDataFrame([(t,) for t in texts], "value string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("decode", [jobs.decode_orders, jobs.decode_details])
+def test_a_filter_on_a_decoded_field_parses_no_text_again(spark, decode):
+    rows = decode(_texts(spark, ['{"id":"7","create_time":"2024-01-01 10:00:00"}', '{"id":null}', "no json", None]))
+    kept = rows.where(F.col("id").isNotNull() & F.to_timestamp("create_time").isNotNull())
+    assert _parses(kept) == 1
+    assert [(r.id, r.create_time) for r in kept.collect()] == [(7, "2024-01-01 10:00:00")] and rows.count() == 4
+
 
-from emporia.streaming import split_state
+def test_records_are_what_decode_gives(spark):
+    texts = ['{"id":"7","order_id":8,"order_price":"1.50","sku_name":"a","sku_num":"x"}', '{"id":[1]}', "[]", "no json", "", None]
+    rows = _texts(spark, texts)
+    want = rows.select(jsonx.decode(F.col("value"), schemas.ORDER_DETAIL).alias("r")).select("r.*")
+    got = jsonx.records(rows, "value", schemas.ORDER_DETAIL)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    some = jsonx.records(rows, "value", schemas.ORDER_DETAIL, ("id", "sku_name"), keep=("value",))
+    assert some.columns == ["value", "id", "sku_name"] and {(r.id, r.sku_name) for r in some.collect()} == {(7, "a"), (None, None)}
+    # a nested record, too
+    log = _texts(spark, [json.dumps({"common": {"mid": "m"}, "ts": "5"}), json.dumps({"ts": 6}), "no json"])
+    nested = sorted(map(tuple, jsonx.records(log, "value", schemas.APP_LOG).collect()), key=repr)
+    assert nested == sorted(map(tuple, log.select(jsonx.decode(F.col("value"), schemas.APP_LOG).alias("r")).select("r.*").collect()), key=repr)
 
 
 def test_a_page_of_the_split_state_is_packed_and_only_its_batchs_orders_are_unpacked():
