@@ -116,8 +116,7 @@ def prj_to_json(spark, sf_dir):
     (operator 14), every field read back from the text."""
     wide = Warehouse.of(spark, sf_dir).wide
     msgs = wide.select(F.col("order_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
-    rec = msgs.select("key", jsonx.decode(F.col("value"), schemas.ORDER_WIDE).alias("r")).select("key", "r.*")
-    return orders.money_as_double(rec)
+    return orders.money_as_double(jsonx.records(msgs, "value", schemas.ORDER_WIDE, keep=("key",)))
 
 
 @register("src_search_docs", with_ctes(
